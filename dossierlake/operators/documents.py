@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from dossierlake.dictionary import MULTI, AttrDictionary
 from dossierlake.functions.keys import base_document_id, info_document_id
-from dossierlake.operators.fold import info_attributes
-from dossierlake.operators.merge import new_values
+from dossierlake.operators.attributes import with_fold_kind
+from dossierlake.operators.merge import new_values, union_inputs
 from dossierlake.operators.parts import MAX_ITEMS, gather, with_part
 from dossierlake.schema import ENTITY, ROW_KEY
 
@@ -39,13 +39,11 @@ def base_documents(
     protocol and action, and of the rows that share it the last one (by time, then by
     its own protocol and action) is the document.
     """
-    values = attr_day.groupBy(*ROW_KEY, "code", "value").agg(
-        F.max("last_time").alias("last_time")
-    )
     if rows is not None:
-        values = values.join(rows, ROW_KEY, "left_semi")
+        attr_day = attr_day.join(rows, ROW_KEY, "left_semi")
     if compat_ids:
-        values = _last_row_per_source(values)
+        attr_day = _last_row_per_source(attr_day)
+    values = attr_day.select(*ROW_KEY, "code", "value").distinct()
     # Maps as items cannot be sorted, so the pairs are sorted first.
     docs = gather(
         values, ROW_KEY, F.struct("code", "value"), "props", ["code", "value"], max_items
@@ -64,16 +62,16 @@ def base_documents(
     )
 
 
-def _last_row_per_source(values: DataFrame) -> DataFrame:
+def _last_row_per_source(attr_day: DataFrame) -> DataFrame:
     source = [*ENTITY, "data_source"]
     winner = (
-        values.groupBy(*ROW_KEY)
+        attr_day.groupBy(*ROW_KEY)
         .agg(F.max("last_time").alias("row_time"))
         .groupBy(*source)
         .agg(F.max(F.struct("row_time", "protocol", "action")).alias("w"))
         .select(*source, "w.protocol", "w.action")
     )
-    return values.join(winner, ROW_KEY, "left_semi")
+    return attr_day.join(winner, ROW_KEY, "left_semi")
 
 
 def info_entities_to_index(
@@ -85,22 +83,20 @@ def info_entities_to_index(
     """Entities whose info document the new data changes.
 
     By default any changed value counts. ``compat_trigger`` only reacts to a code or a
-    multi value that is new to the entity.
+    multi value that is new to the entity. One aggregation compares the best value of
+    the store with the best of both sides.
     """
-    if compat_trigger:
-        pairs = [*ENTITY, "code", "slot"]
-
-        def slots(side: DataFrame) -> DataFrame:
-            multi = dictionary.is_kind(F.col("code"), MULTI)
-            return side.withColumn("slot", F.when(multi, F.col("value")).otherwise(""))
-
-        return new_values(slots(stored), slots(new), pairs).select(*ENTITY).distinct()
-    touched = new.select(*ENTITY).distinct()
-    before = info_attributes(stored.join(touched, ENTITY, "left_semi"), dictionary)
-    after = info_attributes(
-        stored.unionByName(new).join(touched, ENTITY, "left_semi"), dictionary
+    both = with_fold_kind(union_inputs(stored, new), dictionary)
+    slot = F.when(F.col("kind") == MULTI, F.col("value")).otherwise(F.lit(""))
+    best = F.struct("latest", "value")
+    slots = both.groupBy(*ENTITY, "code", "kind", slot.alias("slot")).agg(
+        F.max(best).alias("after"),
+        F.max(F.when(F.col("src") == "store", best)).alias("before"),
     )
-    return new_values(before, after, [*ENTITY, "code", "value"]).select(*ENTITY).distinct()
+    changed = F.col("before").isNull()
+    if not compat_trigger:
+        changed = changed | (F.col("before.value") != F.col("after.value"))
+    return slots.where(changed).select(*ENTITY).distinct()
 
 
 def info_documents(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossierlake.operators.fold import base_profile, info_profile
 from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
 
 NEW = "NEW"
@@ -73,48 +72,47 @@ def stored_lookup(new_obs: DataFrame, stored_base: DataFrame) -> DataFrame:
     return arriving.join(held, ROW_KEY, "left")
 
 
-def row_bytes(*columns: str) -> Column:
-    """Size of a row, measured on its JSON text."""
-    return F.octet_length(F.to_json(F.struct(*columns)))
+def row_bytes(rows: DataFrame) -> Column:
+    """Size of a row: its texts in bytes and eight bytes per number."""
+    size = F.lit(0)
+    for name, kind in rows.dtypes:
+        size = size + (F.octet_length(name) if kind == "string" else F.lit(8))
+    return size
 
 
-def _sizes(merged: DataFrame, key: list[str]) -> DataFrame:
-    return merged.groupBy(*key).agg(F.sum(row_bytes(*merged.columns)).alias("bytes"))
+def merge_counters(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> DataFrame:
+    """Rows and bytes read, written and left alone by a merge, for base and info.
 
-
-def merge_counters(
-    stored: dict[str, DataFrame], new: dict[str, DataFrame], merged: dict[str, DataFrame]
-) -> DataFrame:
-    """Rows and bytes read, written and left alone, for base and info.
-
-    Each dict holds the day tables ``attr_day`` and ``entity_day`` of its side.
+    Both sides are day tables. Bytes are those of their rows: a merge reads what the
+    store holds of a changed key, writes the new rows and leaves the other keys alone.
+    One aggregation per key and one over the keys.
     """
-    sides = [
-        ("BASE", "attr_day", ROW_KEY, base_profile),
-        ("INFO", "entity_day", ENTITY, info_profile),
-    ]
     result = None
-    for label, table, key, profile in sides:
-        status = classify(stored[table], new[table], key)
-        after = _sizes(profile(merged[table]), key)
-        before = _sizes(profile(stored[table]), key).withColumnRenamed("bytes", "old_bytes")
-        rows = status.join(after, key).join(before, key, "left")
-        changed = F.col("status") != UNCHANGED
-
-        def total(condition: Column, value: Column) -> Column:
-            return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("bigint")
-
+    for label, table, key in (("BASE", "attr_day", ROW_KEY), ("INFO", "entity_day", ENTITY)):
+        both = union_inputs(
+            *[side[table].withColumn("bytes", row_bytes(side[table])) for side in (stored, new)]
+        )
+        from_store = F.col("src") == "store"
+        keys = both.groupBy(*key).agg(
+            F.max(from_store).alias("in_store"),
+            F.max(~from_store).alias("in_new"),
+            F.sum(F.when(from_store, F.col("bytes")).otherwise(0)).alias("old_bytes"),
+            F.sum(F.when(from_store, 0).otherwise(F.col("bytes"))).alias("new_bytes"),
+        )
+        is_new = F.col("in_new") & ~F.col("in_store")
+        is_update = F.col("in_new") & F.col("in_store")
         counters = {
-            "NUM_NEW": total(F.col("status") == NEW, F.lit(1)),
-            "NUM_UPDATE": total(F.col("status") == UPDATE, F.lit(1)),
-            "NUM_UNCHANGED": total(F.col("status") == UNCHANGED, F.lit(1)),
-            "BYTES_READ": total(changed, F.col("old_bytes")),
-            "BYTES_WRITE": total(changed, F.col("bytes")),
-            "BYTES_UNCHANGED": total(~changed, F.col("bytes")),
+            "NUM_NEW": F.count_if(is_new),
+            "NUM_UPDATE": F.count_if(is_update),
+            "NUM_UNCHANGED": F.count_if(~F.col("in_new")),
+            "BYTES_READ": F.sum(F.when(is_update, F.col("old_bytes")).otherwise(0)),
+            "BYTES_WRITE": F.sum("new_bytes"),
+            "BYTES_UNCHANGED": F.sum(F.when(F.col("in_new"), 0).otherwise(F.col("old_bytes"))),
         }
-        one = rows.agg(*[c.alias(f"{label}_{name}") for name, c in counters.items()])
-        names = [f"{label}_{name}" for name in counters]
-        part = one.unpivot([], names, "counter", "total")
+        total = keys.agg(
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(f"{label}_{n}") for n, c in counters.items()]
+        )
+        part = total.unpivot([], total.columns, "counter", "total")
         result = part if result is None else result.unionByName(part)
     return result
 

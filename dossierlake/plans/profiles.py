@@ -160,7 +160,7 @@ def export_changed(
 ) -> int:
     """Upsert the changed base profiles, under their row keys, into a serving table."""
     touched_rows = new_attr_day.select(*ROW_KEY).distinct()
-    changed = with_row_key(changed_part(base_profile(merged_attr_day), touched_rows))
+    changed = with_row_key(base_profile(changed_part(merged_attr_day, touched_rows)))
     current = serving.read("base")
     if current is None:
         return serving.append({"base": changed}, batch_id)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierlake.operators.fold import days_text
-from dossierlake.plans.profiles import day_tables
+from dossierlake.operators.fold import days_text, fold_attr_day
+from dossierlake.plans.profiles import attribute_rows, day_tables
 from dossierlake.plans.store import SnapshotStore
-from dossierlake.session import work_dir
+from dossierlake.session import materialize, work_dir
 from dossierlake.sources import adapters
 from dossierlake.sources.adapters import DICTIONARY
 
@@ -32,9 +32,26 @@ def flat(rows: DataFrame) -> DataFrame:
 
 
 def sides(spark: SparkSession, sf_dir: str, p: str) -> tuple[dict, dict]:
-    """Day tables of the stored and of the new observations of a fixture."""
-    old, new = adapters.split_stored(LOADERS[p](spark, sf_dir), SPLITS[p])
-    return day_tables(old, DICTIONARY), day_tables(new, DICTIONARY)
+    """Day tables of the stored and of the new observations of a fixture.
+
+    They are written once, as they would lie in a store, and read by every later step.
+    """
+    halves = adapters.split_stored(LOADERS[p](spark, sf_dir), SPLITS[p])
+    old, new = (
+        {name: materialize(rows, name) for name, rows in day_tables(half, DICTIONARY).items()}
+        for half in halves
+    )
+    return old, new
+
+
+def attr_sides(spark: SparkSession, sf_dir: str, p: str) -> tuple[DataFrame, DataFrame]:
+    """Only the attribute day tables of both sides."""
+    halves = adapters.split_stored(LOADERS[p](spark, sf_dir), SPLITS[p])
+    old, new = (
+        materialize(fold_attr_day(attribute_rows(half, DICTIONARY)), "attr_day")
+        for half in halves
+    )
+    return old, new
 
 
 def fresh_store(spark: SparkSession, name: str) -> SnapshotStore:

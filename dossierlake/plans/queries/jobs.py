@@ -16,10 +16,10 @@ from dossierlake.operators import assemble, attributes, fold, lookup
 from dossierlake.plans import profiles as plan
 from dossierlake.plans import runlog
 from dossierlake.plans.queries import oracle as q
-from dossierlake.plans.queries.common import SPLITS, flat, fresh_store, sides
+from dossierlake.plans.queries.common import SPLITS, attr_sides, flat, fresh_store, sides
 from dossierlake.plans.store import SnapshotStore, parquet_codec
 from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
-from dossierlake.session import work_dir
+from dossierlake.session import spread, work_dir
 from dossierlake.sources import adapters, generator, paths, streams, tagged_tsv
 from dossierlake.sources.adapters import DICTIONARY, load_events, load_lines, table
 from dossierlake.streaming import merge as stream_merge
@@ -200,11 +200,11 @@ def delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serving_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Serving table filled with the stored profiles, then upserted with the changed ones."""
-    old, new = sides(spark, sf_dir, "o")
+    old, new = attr_sides(spark, sf_dir, "o")
     serving = fresh_store(spark, "serving")
-    plan.export_changed(serving, old["attr_day"], old["attr_day"], "first")
-    merged = fold.merge_attr_day(old["attr_day"], new["attr_day"])
-    plan.export_changed(serving, merged, new["attr_day"], "second")
+    plan.export_changed(serving, old, old, "first")
+    merged = fold.merge_attr_day(old, new)
+    plan.export_changed(serving, merged, new, "second")
     return flat(serving.read("base").drop("bucket"))
 
 
@@ -253,7 +253,7 @@ def _props_text() -> Column:
 
 
 def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = table(spark, sf_dir, "orders").select("o_orderkey")
+    ids = spread(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
     obs = generator.generate(ids, GENERATOR, "o_orderkey")
     return obs.withColumn("props", _props_text())
 

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from dossierlake.dictionary import MULTI
 from dossierlake.functions.keys import entity_key
 from dossierlake.operators import accumulate, assemble, documents, fold, lookup, merge
-from dossierlake.plans.profiles import attribute_rows, day_tables, merge_tables
+from dossierlake.plans.profiles import attribute_rows, day_tables
 from dossierlake.plans.queries import oracle as q
-from dossierlake.plans.queries.common import SPLITS, flat, sides
+from dossierlake.plans.queries.common import SPLITS, attr_sides, flat, sides
 from dossierlake.schema import ENTITY, ROW_KEY
+from dossierlake.session import materialize
 from dossierlake.sources import adapters
 from dossierlake.sources.adapters import DICTIONARY, load_events, load_lines, table
 
@@ -77,7 +78,7 @@ def classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = sides(spark, sf_dir, "o")
-    counters = merge.merge_counters(old, new, merge_tables(old, new))
+    counters = merge.merge_counters(old, new)
     return counters.where(F.col("counter").contains("_NUM_"))
 
 
@@ -129,7 +130,8 @@ def grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = attribute_rows(load_lines(spark, sf_dir), DICTIONARY)
-    nest = assemble.nest_base(fold.base_profile(fold.fold_attr_day(rows)))
+    base = materialize(fold.base_profile(fold.fold_attr_day(rows)), "base")
+    nest = assemble.nest_base(base)
     text = F.transform(
         "props",
         lambda p: F.concat_ws(
@@ -152,9 +154,9 @@ def key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cogroup_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old, new = sides(spark, sf_dir, "o")
-    merged = fold.base_profile(fold.merge_attr_day(old["attr_day"], new["attr_day"]))
-    status = merge.classify(old["attr_day"], new["attr_day"])
+    old, new = attr_sides(spark, sf_dir, "o")
+    merged = fold.base_profile(fold.merge_attr_day(old, new))
+    status = merge.classify(old, new)
     return flat(merged.join(status, ROW_KEY))
 
 
@@ -169,10 +171,10 @@ def new_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old, new = sides(spark, sf_dir, "o")
-    merged = fold.base_profile(fold.merge_attr_day(old["attr_day"], new["attr_day"]))
+    old, new = attr_sides(spark, sf_dir, "o")
+    merged = fold.base_profile(fold.merge_attr_day(old, new))
     parts = [
-        split(merged, new["attr_day"])
+        split(merged, new)
         .groupBy("data_source")
         .agg(F.count(F.lit(1)).alias("value_rows"), F.sum("cnt").alias("cnt"))
         .withColumn("part", F.lit(name))
@@ -215,8 +217,7 @@ def attribute_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _base_docs(spark: SparkSession, sf_dir: str, compat: bool) -> DataFrame:
-    old, new = adapters.split_stored(load_lines(spark, sf_dir), SPLITS["o"])
-    tables = [day_tables(side, DICTIONARY)["attr_day"] for side in (old, new)]
+    tables = attr_sides(spark, sf_dir, "o")
     docs = documents.base_documents(
         tables[0].unionByName(tables[1]),
         F.lit(AS_OF),
@@ -238,8 +239,7 @@ def base_documents_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _info_docs(spark: SparkSession, sf_dir: str, compat: bool) -> DataFrame:
-    old, new = adapters.split_stored(load_lines(spark, sf_dir), SPLITS["o"])
-    tables = [day_tables(side, DICTIONARY)["attr_day"] for side in (old, new)]
+    tables = attr_sides(spark, sf_dir, "o")
     entities = documents.info_entities_to_index(*tables, DICTIONARY, compat_trigger=compat)
     info = fold.info_attributes(tables[0].unionByName(tables[1]), DICTIONARY)
     docs = documents.info_documents(info, F.lit(AS_OF), entities)

@@ -60,21 +60,31 @@ class SnapshotStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.codec = parquet_codec(codec)
-        head = self.head()
+        try:
+            head = self.head()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            spark.createDataFrame([], LOG_SCHEMA).coalesce(1).write.parquet(f"{self.root}/log")
+            head = None
         self.buckets = head["buckets"] if head else buckets
 
     # -- versions -----------------------------------------------------------------
 
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/log")
 
     def head(self) -> Row | None:
-        return self.log().orderBy(F.desc("version")).first()
+        return self._head_and_seen(None)[0]
+
+    def _head_and_seen(self, batch_id: str | None) -> tuple[Row | None, bool]:
+        """The newest version, and whether a batch id is listed, in one small job."""
+        entry = F.struct("version", "batch_id", "created", "buckets", "segments")
+        row = self.log().agg(
+            F.max_by(entry, "version").alias("head"),
+            F.max(F.col("batch_id") == F.lit(batch_id)).alias("seen"),
+        ).first()
+        return row["head"], bool(row["seen"])
 
     def at(self, version: int | None) -> Row | None:
         if version is None:
@@ -130,8 +140,8 @@ class SnapshotStore:
 
     def append(self, tables: dict[str, DataFrame], batch_id: str) -> int:
         """Add one segment per table. A batch id that is already listed is skipped."""
-        head = self.head()
-        if head is not None and self.has_batch(batch_id):
+        head, seen = self._head_and_seen(batch_id)
+        if seen:
             return head["version"]
         kept = [s.asDict() for s in head["segments"]] if head else []
         return self._commit(head, kept + self._write_all(tables), batch_id)

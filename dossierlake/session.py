@@ -25,6 +25,8 @@ def build_session(
             "spark.sql.adaptive.advisoryPartitionSizeInBytes", ADVISORY_PARTITION_BYTES
         )
         .config("spark.sql.parquet.compression.codec", "snappy")
+        # Keys are many and lists short: sorting beats a heap of list objects.
+        .config("spark.sql.execution.useObjectHashAggregateExec", "false")
     )
     if master:
         builder = builder.master(master)
@@ -54,6 +56,13 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result that several steps use to the shared folder and read it back."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores when a scan has fewer splits than cores.
 

@@ -86,7 +86,7 @@ def load_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     )
-    return line_observations(spread(lineitem), orders)
+    return line_observations(spread(lineitem, "l_orderkey", "l_linenumber"), orders)
 
 
 def split_stored(obs: DataFrame, boundary: int) -> tuple[DataFrame, DataFrame]:

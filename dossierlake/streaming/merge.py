@@ -54,8 +54,6 @@ def start_profile_merge(
 
     def merge_batch(batch: DataFrame, number: int) -> None:
         batch_id = f"{stream_id}:{number}"
-        if store.has_batch(batch_id):
-            return
         batch.persist()
         try:
             if batch.isEmpty():
