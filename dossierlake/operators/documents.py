@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from dossierlake.dictionary import MULTI, AttrDictionary
 from dossierlake.functions.keys import base_document_id, info_document_id
 from dossierlake.operators.attributes import with_fold_kind
-from dossierlake.operators.merge import new_values, union_inputs
+from dossierlake.operators.merge import keep_keys, new_values, union_inputs
 from dossierlake.operators.parts import MAX_ITEMS, gather, with_part
-from dossierlake.schema import ENTITY, ROW_KEY
+from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
 
 # Document field names.
 FIELD_TIME = "H010014"
@@ -40,7 +40,7 @@ def base_documents(
     its own protocol and action) is the document.
     """
     if rows is not None:
-        attr_day = attr_day.join(rows, ROW_KEY, "left_semi")
+        attr_day = keep_keys(attr_day, rows, ROW_KEY, next_key=ATTR_KEY)
     if compat_ids:
         attr_day = _last_row_per_source(attr_day)
     values = attr_day.select(*ROW_KEY, "code", "value").distinct()
@@ -71,7 +71,7 @@ def _last_row_per_source(attr_day: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("row_time", "protocol", "action")).alias("w"))
         .select(*source, "w.protocol", "w.action")
     )
-    return attr_day.join(winner, ROW_KEY, "left_semi")
+    return keep_keys(attr_day, winner, ROW_KEY, next_key=ATTR_KEY)
 
 
 def info_entities_to_index(
@@ -111,7 +111,7 @@ def info_documents(
     """
     attrs = profile_info_attr
     if entities is not None:
-        attrs = attrs.join(entities, ENTITY, "left_semi")
+        attrs = keep_keys(attrs, entities, ENTITY)
     parts = with_part(
         attrs.select(*ENTITY, "code", "kind", "value"), ENTITY, ["code", "value"], max_items
     )

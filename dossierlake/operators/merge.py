@@ -41,14 +41,41 @@ def classify(stored: DataFrame, new: DataFrame, key: list[str] = ROW_KEY) -> Dat
     )
 
 
-def changed_part(merged: DataFrame, new: DataFrame, key: list[str] = ROW_KEY) -> DataFrame:
-    """Rows of the merged profile whose key the new data touched."""
-    return merged.join(new.select(*key).distinct(), key, "left_semi")
-
-
-def unchanged_part(merged: DataFrame, new: DataFrame, key: list[str] = ROW_KEY) -> DataFrame:
-    """The rest of the merged profile; with ``changed_part`` it is the whole store."""
-    return merged.join(new.select(*key).distinct(), key, "left_anti")
+def keep_keys(
+    rows: DataFrame,
+    keys: DataFrame,
+    key: list[str],
+    how: str = "left_semi",
+    next_key: list[str] | None = None,
+) -> DataFrame:
+    """Rows whose key is listed (``left_semi``) or not listed (``left_anti``).
+
+    ``next_key`` is what the caller groups by afterwards. Shuffling on it here keeps the
+    grouping from reusing the join's partitions, where a busy key is one task, and lets
+    adaptive execution split that key in the join.
+    """
+    kept = rows.join(keys.select(*key).distinct(), key, how)
+    return kept.repartition(*next_key) if next_key else kept
+
+
+def changed_part(
+    rows: DataFrame,
+    new: DataFrame,
+    key: list[str] = ROW_KEY,
+    next_key: list[str] | None = None,
+) -> DataFrame:
+    """Rows whose key the new data touched."""
+    return keep_keys(rows, new, key, "left_semi", next_key)
+
+
+def unchanged_part(
+    rows: DataFrame,
+    new: DataFrame,
+    key: list[str] = ROW_KEY,
+    next_key: list[str] | None = None,
+) -> DataFrame:
+    """The other rows; with ``changed_part`` they are the whole."""
+    return keep_keys(rows, new, key, "left_anti", next_key)
 
 
 def new_values(stored: DataFrame, new: DataFrame, key: list[str] = ATTR_KEY) -> DataFrame:

@@ -21,6 +21,8 @@ from dossierlake.operators.documents import (
     write_documents,
 )
 from dossierlake.operators.fold import (
+    ATTR_DAY_KEY,
+    ENTITY_DAY_KEY,
     base_profile,
     fold_attr_day,
     fold_entity_day,
@@ -32,9 +34,10 @@ from dossierlake.operators.fold import (
 from dossierlake.operators.lookup import without_entities
 from dossierlake.operators.merge import changed_part, classify
 from dossierlake.plans.store import SnapshotStore
-from dossierlake.schema import ENTITY, ROW_KEY
+from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
 
 MERGES = {"attr_day": merge_attr_day, "entity_day": merge_entity_day}
+DAY_KEYS = {"attr_day": ATTR_DAY_KEY, "entity_day": ENTITY_DAY_KEY}
 
 
 @dataclass
@@ -139,7 +142,7 @@ def delete_entities(
     tables = {}
     for name in chosen:
         rows = store.read(name).where(F.col("bucket").isin(*touched)).drop("bucket")
-        tables[name] = MERGES[name](without_entities(rows, keys))
+        tables[name] = MERGES[name](without_entities(rows, keys, DAY_KEYS[name]))
     return store.rewrite(tables, batch_id, touched)
 
 
@@ -160,7 +163,7 @@ def export_changed(
 ) -> int:
     """Upsert the changed base profiles, under their row keys, into a serving table."""
     touched_rows = new_attr_day.select(*ROW_KEY).distinct()
-    changed = with_row_key(base_profile(changed_part(merged_attr_day, touched_rows)))
+    changed = with_row_key(base_profile(changed_part(merged_attr_day, touched_rows, next_key=ATTR_KEY)))
     current = serving.read("base")
     if current is None:
         return serving.append({"base": changed}, batch_id)
