@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossierlake.dictionary import MULTI, AttrDictionary
@@ -186,8 +186,6 @@ def latest_by_window(attrs: DataFrame) -> DataFrame:
     Spark cuts each group to its first row before the shuffle (window group limit), so
     a hot code does not travel whole.
     """
-    from pyspark.sql import Window
-
     order = Window.partitionBy(*ENTITY, "code").orderBy(
         F.desc("capture_time"), F.asc("seq"), F.desc("pos"), F.desc("value")
     )

@@ -239,6 +239,37 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop("job_id")
 
 
+def counter_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of one job per order status, each with its place in the sorted line."""
+    root = work_dir(spark, "counters")
+    obs = load_lines(spark, sf_dir)
+    names = [f"{group}.{status}" for group in ("seen", "dated") for status in ("O", "F", "P")]
+
+    def job() -> dict[str, int]:
+        of = {s: F.col("action") == s for s in ("O", "F", "P")}
+        measures = {
+            name: F.count_if(of[name[-1]])
+            if name.startswith("seen")
+            else F.max(F.when(of[name[-1]], F.col("capture_time")))
+            for name in names
+        }
+        return runlog.write_counted(obs, f"{root}/out", measures)
+
+    runlog.run_logged(spark, f"{root}/log", "count lines", job)
+    line = runlog.sorted_counters(spark.read.parquet(f"{root}/log"))
+    return flat(line.drop("job_id", "job_name"))
+
+
+def printed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the console shows of every observation, with its sequence number."""
+    obs = attributes.collect_props(load_events(spark, sf_dir), DICTIONARY)
+    path, out = work_dir(spark, "print"), work_dir(spark, "print-out")
+    obs.write.parquet(path)
+    shown = assemble.show_observations(streams.file_stream(spark, path, obs.schema))
+    _finish(sinks.write_rolled_stream(shown, out, work_dir(spark, "print-cp")))
+    return flat(spark.read.parquet(out))
+
+
 def delimited_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "delimited")
     assemble.delimited(load_events(spark, sf_dir), ["seq", "oid", "M1"]).write.text(path)
@@ -533,6 +564,10 @@ def _generated_sql() -> str:
 _GENERATED = f"{_generated_sql()} SELECT {q.HEADER}, props FROM obs"
 _E_PROPS = "'S1=' || S1 || ';S2=' || S2 || ';M1=' || replace(M1, ',', ';M1=')"
 _E_ATTRS = f"{_E} SELECT DISTINCT {q.KEY}, code, value FROM e_attr"
+_SHOWN = (
+    f"{q.HEADER}, {q.ENTITY_KEY} AS md5, CAST(5 AS BIGINT) AS n_props, "
+    "'S1=' || S1 || ',S2=' || S2 || ',M1=' || replace(M1, ',', ',M1=') AS props"
+)
 
 QUERIES = {
     "src1_tagged_scan": (
@@ -558,9 +593,7 @@ QUERIES = {
     "src6_throttled_generation": (throttled_generation, _GENERATED),
     "src7_throttled_consumer": (
         throttled_consumer,
-        f"{q.with_(q.E_OBS)} SELECT {q.HEADER}, {q.ENTITY_KEY} AS md5, CAST(5 AS BIGINT) AS "
-        "n_props, 'S1=' || S1 || ',S2=' || S2 || ',M1=' || replace(M1, ',', ',M1=') AS props "
-        "FROM e_obs",
+        f"{q.with_(q.E_OBS)} SELECT {_SHOWN} FROM e_obs",
     ),
     "gen1_observations": (generated, _GENERATED),
     "gen2_generation_job": (
@@ -637,6 +670,17 @@ QUERIES = {
         "count(*) FILTER (action = 'O') FROM o_obs UNION ALL SELECT 'copy lines', 'bytes', 'text', "
         "CAST(sum(length(M1)) AS BIGINT) FROM o_obs",
     ),
+    "srt2_counter_order": (
+        counter_order,
+        f"{q.with_(q.O_OBS)}, c AS (SELECT 'seen' AS counter_group, action AS counter_name, "
+        "count(*) AS total FROM o_obs GROUP BY 2 UNION ALL SELECT 'dated', action, "
+        "max(capture_time) FROM o_obs GROUP BY 2) SELECT *, row_number() OVER "
+        "(ORDER BY counter_group, counter_name) AS place FROM c",
+    ),
+    "snk12_printed_messages": (
+        printed_messages,
+        f"{q.with_(q.E_OBS)} SELECT {_SHOWN} FROM e_obs",
+    ),
     "snk14_one_step_load": (
         one_step_load,
         f"{_E}, {q.sides('e')}, {q.info_attr('e_attr', 'i')}, {q.info_attr('e_old', 'j')}, "

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 SCHEMA = (
@@ -55,6 +55,12 @@ def counter_lines(log: DataFrame) -> DataFrame:
     ).orderBy("job_id", "counter_group", "counter_name")
 
 
+def sorted_counters(log: DataFrame) -> DataFrame:
+    """Counter lines with their place in the job's sorted list."""
+    order = Window.partitionBy("job_id").orderBy("counter_group", "counter_name")
+    return counter_lines(log).withColumn("place", F.row_number().over(order))
+
+
 def log_text(log: DataFrame) -> DataFrame:
     """Tab separated lines: id, name, state, start, end, seconds, sorted counter values."""
     values = F.array_join(

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dossierlake.functions.keys import bucket_of
-from dossierlake.schema import ENTITY, ROW_KEY
 
 LOG_SCHEMA = (
     "version bigint, batch_id string, created timestamp, buckets int, "
@@ -185,13 +184,12 @@ class SnapshotStore:
         keyed = rows.drop("bucket").withColumn(
             "bucket", bucket_of(F.col("entity_type"), F.col("oid"), self.buckets)
         )
-        order = [c for c in ROW_KEY if c in rows.columns] or ENTITY
         # The rebalance brings a bucket together in few files; adaptive execution splits
-        # a bucket that is too big for one task and merges small ones. Sorted files let
-        # a lookup skip row groups by key.
+        # a bucket that is too big for one task and merges small ones. Files sorted by
+        # id let a lookup skip row groups; more sort columns would only cost time.
         (
             keyed.hint("rebalance", F.col("bucket"))
-            .sortWithinPartitions("bucket", *order)
+            .sortWithinPartitions("bucket", "oid")
             .write.partitionBy("bucket")
             .option("compression", self.codec)
             .parquet(f"{self.root}/{path}")
