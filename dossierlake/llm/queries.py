@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossierlake.llm import bpe, idfiles, packing, warc
+from dossierlake.llm import (
+    bpe,
+    extract,
+    idfiles,
+    near_dup,
+    packing,
+    quality_bayes,
+    quality_rules,
+    warc,
+)
 from dossierlake.llm.frames import table
 
 
@@ -12,6 +21,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -24,6 +41,14 @@ def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.id_file_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_bayes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
@@ -42,7 +67,11 @@ FROM t
 
 CATALOG = {
     "op1_warc": (op1_warc, OP1_SQL),
+    "op2_quality_rules": (op2_quality_rules, None),
+    "op3_extraction": (op3_extraction, None),
     "op4_packing": (op4_packing, None),
     "op5_bpe": (op5_bpe, None),
     "op6_id_files": (op6_id_files, None),
+    "op7_quality_bayes": (op7_quality_bayes, None),
+    "op8_near_duplicates": (op8_near_duplicates, None),
 }

@@ -30,7 +30,7 @@ def powers(n: int) -> np.ndarray:
     """The first n powers of the base, at least."""
     global _powers
     while len(_powers) < n:
-        top = _powers[-1] * _BASE
+        top = np.uint64(int(_powers[-1]) * int(_BASE) & ((1 << 64) - 1))
         _powers = np.concatenate([_powers, _powers * top])
     return _powers
 
