@@ -77,9 +77,11 @@ def cut_documents(
 def number_sequences(pieces: DataFrame) -> DataFrame:
     """Adds sequence_id, dense from 0 by bucket (longest first), document and start, and offset.
 
-    Pieces are range-partitioned in that order and written; the parts' row counts, one number per
-    partition, give each part its first id.
+    Pieces are written as they are cut, so that sampling for the range partitioning does not cut
+    them again, then range-partitioned in that order and written; the parts' row counts, one number
+    per partition, give each part its first id.
     """
+    pieces = materialize(pieces, "cut")
     order = [F.desc("length"), F.asc_nulls_first("doc_id"), F.asc("start"), F.asc("ids_crc32")]
     parts = pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")
     placed = pieces.repartitionByRange(int(parts), *order).sortWithinPartitions(*order)
