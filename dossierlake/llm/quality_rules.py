@@ -84,7 +84,7 @@ def count_bins(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -
     trusted = labels.where(F.col("quality") == 1).select(F.col("doc_id").cast("bigint")).distinct()
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")
-    ).join(trusted.withColumn("trusted", F.lit(True)), "doc_id", "left")
+    ).join(trusted.withColumn("trusted", F.lit(True)).hint("merge"), "doc_id", "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = np.zeros(1 << BIN_BITS, np.int64)
