@@ -9,9 +9,11 @@ from dossierlake.llm import (
     extract,
     idfiles,
     near_dup,
+    neighbours,
     packing,
     quality_bayes,
     quality_rules,
+    toxicity,
     warc,
 )
 from dossierlake.llm.frames import table
@@ -49,6 +51,15 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, rows.where("vec_id % 50 = 0"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP1_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
@@ -65,6 +76,21 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM t
 """
 
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+n AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS l FROM v
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / (q.l * c.l) AS score
+  FROM n q JOIN n c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 CATALOG = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_quality_rules": (op2_quality_rules, None),
@@ -74,4 +100,6 @@ CATALOG = {
     "op6_id_files": (op6_id_files, None),
     "op7_quality_bayes": (op7_quality_bayes, None),
     "op8_near_duplicates": (op8_near_duplicates, None),
+    "op9_neighbours": (op9_neighbours, OP9_SQL),
+    "op10_toxicity": (op10_toxicity, None),
 }

@@ -35,11 +35,13 @@ def powers(n: int) -> np.ndarray:
     return _powers
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word; a word ends at white space or with its row."""
+def spans(
+    data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word; a word ends at a gap byte or with its row."""
     if not len(data):
         return (np.zeros(0, np.int64),) * 3
-    word = ~SPACE[data]
+    word = ~gap[data]
     fresh = word.copy()
     fresh[1:] &= ~word[:-1]
     heads = offsets[:-1][offsets[:-1] < offsets[1:]]
