@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from dossierlake.llm.frames import flat_bytes, prepared, slices
 from dossierlake.llm.gru import Adam, Batch, Network
@@ -29,8 +30,10 @@ from dossierlake.llm.gru import Adam, Batch, Network
 # of up to so many characters.
 SAMPLE = 1000
 SAMPLE_CHARS = 16_000
-EPOCHS = 14  # more for a small sample: until there are so many updates
-UPDATES = 500
+EPOCHS = 14  # a small sample takes more, toward so many updates
+UPDATES, MOST_EPOCHS = 250, 40
+# Toxic texts that the sample would need for its verdicts to be trusted by half.
+FEW = 20
 AT_ONCE = 64
 RATE = 0.01
 THRESHOLD = 0.3
@@ -98,7 +101,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Network | None
     score = begin(net, batch, labels > 0.5)
     first = np.searchsorted(batch.window_rows, np.arange(batch.n_rows + 1))
     per_epoch = (int((labels > 0.5).sum()) + 2 * int((labels < 0.5).sum())) / AT_ONCE
-    epochs = max(EPOCHS, round(UPDATES / max(1.0, per_epoch)))
+    epochs = max(EPOCHS, min(MOST_EPOCHS, round(UPDATES / max(1.0, per_epoch))))
     for epoch in range(epochs):
         if epoch:
             score = net.logits(batch)
@@ -111,6 +114,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Network | None
             some = chosen[a : a + AT_ONCE]
             adam.rate = RATE * (1 - epoch / epochs)
             adam.update(net.p, net.gradients(batch.part(some), toxic[some].astype(np.float32)))
+    known = float((labels > 0.5).sum())
+    net.p["bias"] -= np.float32(np.log((known + FEW) / known))
     return net
 
 
@@ -146,7 +151,7 @@ def with_scores(docs: DataFrame, net: Network | None, text_col: str, name: str)
             score = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, name])
 
-    kinds = docs.schema.add(name, "double")
+    kinds = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     return docs.mapInArrow(run, kinds)
 
 
