@@ -37,10 +37,21 @@ def format_byte_list(data: Column) -> Column:
 
 
 def unsigned_value(data: Column) -> Column:
-    """Up to eight bytes as an unsigned big-endian number."""
-    return F.when(
-        F.length(data) <= 8, F.conv(F.hex(data), 16, 10).cast("decimal(20,0)")
-    )
+    """Up to fifteen bytes as an unsigned big-endian number; more is an error.
+
+    A decimal holds 38 digits, which is what fifteen bytes need at most.
+    """
+    digits = F.lpad(F.hex(data), 30, "0")
+
+    def part(start: int, size: int) -> Column:
+        return F.conv(F.substring(digits, start, size), 16, 10).cast("decimal(20,0)")
+
+    # The last seven bytes and the eight before them.
+    room = F.lit(str(1 << 56)).cast("decimal(17,0)")
+    value = (part(1, 16) * room + part(17, 14)).cast("decimal(38,0)")
+    return F.when(F.length(data) == 0, F.lit(None).cast("decimal(38,0)")).when(
+        F.length(data) <= 15, value
+    ).when(data.isNotNull(), F.raise_error(F.lit("more than fifteen bytes")).cast("decimal(38,0)"))
 
 
 def md5_hex(data: Column) -> Column:

@@ -9,7 +9,7 @@ from dossierlake.dictionary import MULTI, AttrDictionary
 from dossierlake.functions.keys import base_document_id, info_document_id
 from dossierlake.operators.attributes import with_fold_kind
 from dossierlake.operators.merge import keep_keys, new_values, union_inputs
-from dossierlake.operators.parts import MAX_ITEMS, gather, with_part
+from dossierlake.operators.parts import gather, page_of
 from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
 
 # Document field names.
@@ -31,13 +31,14 @@ def base_documents(
     as_of: Column,
     rows: DataFrame | None = None,
     compat_ids: bool = False,
-    max_items: int = MAX_ITEMS,
+    pages: int = 1,
 ) -> DataFrame:
     """One document per row key: ``props`` is a list of ``{code: value}``.
 
     ``rows`` limits the output to some row keys. With ``compat_ids`` the id ignores
     protocol and action, and of the rows that share it the last one (by time, then by
-    its own protocol and action) is the document.
+    its own protocol and action) is the document. With several ``pages`` a row key has a
+    document for each, and the page ends its id.
     """
     if rows is not None:
         attr_day = keep_keys(attr_day, rows, ROW_KEY, next_key=ATTR_KEY)
@@ -46,12 +47,12 @@ def base_documents(
     values = attr_day.select(*ROW_KEY, "code", "value").distinct()
     # Maps as items cannot be sorted, so the pairs are sorted first.
     docs = gather(
-        values, ROW_KEY, F.struct("code", "value"), "props", ["code", "value"], max_items
+        values, ROW_KEY, F.struct("code", "value"), "props", ["code", "value"], pages
     )
     cols = {name: F.col(name) for name in ROW_KEY}
     return docs.select(
-        base_document_id(cols, compat_ids).alias("id"),
-        "part",
+        paged_id(base_document_id(cols, compat_ids), pages).alias("id"),
+        "page",
         as_of.cast("bigint").alias(FIELD_TIME),
         F.col("entity_type").alias(FIELD_TYPE),
         F.col("oid").alias(FIELD_OID),
@@ -62,6 +63,10 @@ def base_documents(
     )
 
 
+def paged_id(document_id: Column, pages: int) -> Column:
+    return document_id if pages == 1 else F.concat(document_id, F.lit("-"), F.col("page"))
+
+
 def _last_row_per_source(attr_day: DataFrame) -> DataFrame:
     source = [*ENTITY, "data_source"]
     winner = (
@@ -103,24 +108,25 @@ def info_documents(
     profile_info_attr: DataFrame,
     as_of: Column,
     entities: DataFrame | None = None,
-    max_items: int = MAX_ITEMS,
+    pages: int = 1,
 ) -> DataFrame:
     """One document per entity: ``single`` maps a code to its value, ``multi`` to values.
 
-    ``info_json`` turns it into the flat document.
+    ``info_json`` turns it into the flat document. With several ``pages`` an entity has a
+    document for each, and the page ends its id.
     """
     attrs = profile_info_attr
     if entities is not None:
-        attrs = keep_keys(attrs, entities, ENTITY)
-    parts = with_part(
-        attrs.select(*ENTITY, "code", "kind", "value"), ENTITY, ["code", "value"], max_items
+        attrs = keep_keys(attrs, entities, ENTITY, next_key=[*ENTITY, "code", "value"])
+    paged = attrs.select(
+        *ENTITY, "code", "kind", "value", page_of(pages, "code", "value").alias("page")
     )
     # Per code first, so that the last step sees one row per code of the entity.
-    codes = parts.groupBy(*ENTITY, "part", "code", "kind").agg(
+    codes = paged.groupBy(*ENTITY, "page", "code", "kind").agg(
         F.sort_array(F.collect_list("value")).alias("values")
     )
     multi = F.col("kind") == MULTI
-    docs = codes.groupBy(*ENTITY, "part").agg(
+    docs = codes.groupBy(*ENTITY, "page").agg(
         F.map_from_entries(
             F.sort_array(
                 F.collect_list(F.when(~multi, F.struct("code", F.col("values")[0])))
@@ -131,8 +137,8 @@ def info_documents(
         ).alias("multi"),
     )
     return docs.select(
-        info_document_id(F.col("entity_type"), F.col("oid")).alias("id"),
-        "part",
+        paged_id(info_document_id(F.col("entity_type"), F.col("oid")), pages).alias("id"),
+        "page",
         as_of.cast("bigint").alias(FIELD_TIME),
         F.col("entity_type").alias(FIELD_TYPE),
         F.col("oid").alias(FIELD_OID),
@@ -142,9 +148,9 @@ def info_documents(
 
 
 def base_json(docs: DataFrame) -> DataFrame:
-    """Documents as JSON lines; ``part`` only shows up on documents split in parts."""
+    """Documents as JSON lines."""
     return docs.select(
-        F.to_json(F.struct(*[_shown(c) for c in docs.columns])).alias("value")
+        F.to_json(F.struct(*docs.columns)).alias("value")
     )
 
 
@@ -152,7 +158,7 @@ def info_json(docs: DataFrame) -> DataFrame:
     """Flat JSON lines: every single code a field, every multi code an array field."""
     head = [c for c in docs.columns if c not in ("single", "multi")]
     texts = [
-        F.to_json(F.struct(*[_shown(c) for c in head])),
+        F.to_json(F.struct(*head)),
         F.to_json("single"),
         F.to_json("multi"),
     ]
@@ -166,11 +172,5 @@ def info_json(docs: DataFrame) -> DataFrame:
     )
 
 
-def _shown(name: str) -> Column:
-    if name == "part":
-        return F.when(F.col("part") > 0, F.col("part")).alias("part")
-    return F.col(name)
-
-
 def write_documents(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
     lines.write.mode(mode).text(path)

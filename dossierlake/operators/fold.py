@@ -7,8 +7,9 @@ Two day-level tables carry everything and are the only state that is ever merged
 
 Each measure is a count, minimum or maximum, so folding a batch, merging two batches
 and folding a stream are the same aggregation. Every aggregate buffer is a fixed-width
-number, which keeps the plan on hash aggregation with map-side partials: a key that
-holds a third of the input reaches the shuffle as one row per map task and day.
+number, which keeps the day folds on hash aggregation with map-side partials: a key that
+holds a third of the input reaches the shuffle as one row per map task and day. Histograms
+and the latest values of info profiles hold lists and structs and are sort aggregations.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ ENTITY_DAY_KEY = ENTITY + ["day"]
 ATTR_DAY = ATTR_DAY_KEY + ["n", "first_time", "last_time", "latest", "arrival"]
 ENTITY_DAY = ENTITY_DAY_KEY + ["n", "first_time", "last_time"]
 
-# Room for the parts of a packed rank: a time below 10^11 seconds, an arrival number
-# from 0 to 10^19 and a position inside the record below 10^6.
-TIME_ROOM = 10**11
+# Room for the parts of a packed rank: a time within 5 * 10^12 seconds of 1970, an arrival
+# number from 0 to 10^19 and a position inside the record below 10^6. Other values are errors.
+TIME_ROOM = 10**13
+TIME_BIAS = TIME_ROOM // 2
 SEQ_ROOM = 10**19
 POS_ROOM = 10**6
 
@@ -43,24 +45,35 @@ def _power(value: int) -> Column:
     return F.lit(str(value)).cast(f"decimal({len(str(value))},0)")
 
 
+def _checked(name: str, least: int, end: int | None = None) -> Column:
+    """The column, or an error where a value has no room in a rank."""
+    value = F.col(name)
+    wrong = F.raise_error(F.concat(F.lit(f"{name} out of range: "), value.cast("string")))
+    outside = value < least
+    if end is not None:
+        outside = outside | (value >= end)
+    return F.when(outside, wrong.cast("bigint")).otherwise(value)
+
+
 def latest_rank() -> Column:
     """Orders values of a single code: time, then earlier arrival, then later position."""
     return (
-        _whole(F.col("capture_time"), 12) * _power(SEQ_ROOM * POS_ROOM)
-        - _whole(F.col("seq"), 19) * _power(POS_ROOM)
-        + F.col("pos")
+        _whole(_checked("capture_time", -TIME_BIAS, TIME_BIAS), 13) * _power(SEQ_ROOM * POS_ROOM)
+        - _whole(_checked("seq", 0), 19) * _power(POS_ROOM)
+        + _checked("pos", 0, POS_ROOM)
     ).cast("decimal(38,0)")
 
 
 def arrival_rank() -> Column:
     """Orders by arrival and carries the time of that arrival in its last digits."""
     return (
-        _whole(F.col("seq"), 19) * _power(TIME_ROOM) + F.col("capture_time")
+        _whole(F.col("seq"), 19) * _power(TIME_ROOM)
+        + (F.col("capture_time") + F.lit(TIME_BIAS))
     ).cast("decimal(38,0)")
 
 
 def arrival_time(rank: Column) -> Column:
-    return F.pmod(rank, _power(TIME_ROOM)).cast("bigint")
+    return F.pmod(rank, _power(TIME_ROOM)).cast("bigint") - F.lit(TIME_BIAS)
 
 
 def fold_attr_day(attrs: DataFrame) -> DataFrame:

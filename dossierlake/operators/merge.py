@@ -142,7 +142,3 @@ def merge_counters(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> D
         part = total.unpivot([], total.columns, "counter", "total")
         result = part if result is None else result.unionByName(part)
     return result
-
-
-def status_counts(stored: DataFrame, new: DataFrame, key: list[str] = ROW_KEY) -> DataFrame:
-    return classify(stored, new, key).groupBy("status").agg(F.count(F.lit(1)).alias("cnt"))

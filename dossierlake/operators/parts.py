@@ -1,54 +1,22 @@
-"""Gathering the rows of a key into arrays without ever building an unbounded array."""
+"""Gathering the rows of a key into arrays, in a stated number of pages."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one output array. Keys with more rows come out as several numbered parts.
-MAX_ITEMS = 100_000
-# A key's rows are spread over this many tasks while its number of parts is looked up.
-SALTS = 32
+from dossierlake.functions.keys import join_key
 
 
-def with_part(
-    rows: DataFrame,
-    key: list[str],
-    items: list[str],
-    max_items: int = MAX_ITEMS,
-    weight: str | None = None,
-) -> DataFrame:
-    """Add ``part``: 0 for every key of at most ``max_items`` rows, else its share.
-
-    ``weight`` names a column that counts for how many items a row stands.
+def page_of(pages: int, *items: str) -> Column:
+    """Page of an item, from a digest of its text: 0 to pages - 1.
 
-    Sizes are counted with map-side partials, and only oversized keys are kept, so the
-    lookup side has at most rows / max_items entries. The salt keeps the rows of an
-    oversized key apart in the join. When there is no oversized key, adaptive execution
-    sees an empty side and drops the join.
+    The caller states the number of pages; it never follows from the data, so a key's page does
+    not move when other rows come or go. With more pages a busy key is spread over more groups.
     """
-    big = (
-        rows.groupBy(*key)
-        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("size"))
-        .where(F.col("size") > max_items)
-        .select(
-            *key,
-            F.ceil(F.col("size") / F.lit(max_items)).alias("parts"),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
-        )
-    )
-    digest = F.xxhash64(*items)
-    return (
-        rows.withColumn("salt", F.pmod(digest, F.lit(SALTS)).cast("int"))
-        .join(big, [*key, "salt"], "left")
-        .withColumn(
-            "part",
-            F.coalesce(
-                F.pmod(F.shiftright(digest, 8), F.col("parts")).cast("int"), F.lit(0)
-            ),
-        )
-        .drop("salt", "parts")
-    )
+    digest = F.md5(join_key(*[F.col(i).cast("string") for i in items]))
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return (number % F.lit(pages)).cast("int")
 
 
 def gather(
@@ -57,11 +25,11 @@ def gather(
     item: Column,
     name: str,
     identity: list[str],
-    max_items: int = MAX_ITEMS,
+    pages: int = 1,
 ) -> DataFrame:
-    """Sorted array of ``item`` per key and part."""
+    """Sorted array of ``item`` per key and page."""
     return (
-        with_part(rows, key, identity, max_items)
-        .groupBy(*key, "part")
+        rows.withColumn("page", page_of(pages, *identity))
+        .groupBy(*key, "page")
         .agg(F.sort_array(F.collect_list(item)).alias(name))
     )

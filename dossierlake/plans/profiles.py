@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from dossierlake.dictionary import AttrDictionary
 from dossierlake.functions.keys import row_key
-from dossierlake.operators.assemble import nest_base
 from dossierlake.operators.attributes import explode_props, unpivot_attributes
 from dossierlake.operators.documents import (
     base_documents,
@@ -37,6 +36,8 @@ from dossierlake.plans.store import SnapshotStore
 from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
 
 MERGES = {"attr_day": merge_attr_day, "entity_day": merge_entity_day}
+# Arrival numbers of one batch.
+BATCH_ROOM = 10**12
 DAY_KEYS = {"attr_day": ATTR_DAY_KEY, "entity_day": ENTITY_DAY_KEY}
 
 
@@ -87,17 +88,34 @@ def build_profiles(
 # -- store --------------------------------------------------------------------------
 
 
+def after_batches(obs: DataFrame, number: int) -> DataFrame:
+    """Arrival numbers of a batch that follow those of all batches with smaller numbers."""
+    if number >= (2**63 - 1) // BATCH_ROOM:
+        raise ValueError(f"batch number {number} is too large")
+    seq = F.col("seq")
+    wrong = F.raise_error(F.concat(F.lit("arrival number out of range: "), seq.cast("string")))
+    inside = (seq >= 0) & (seq < BATCH_ROOM)
+    placed = F.when(inside, seq + F.lit(number * BATCH_ROOM)).otherwise(wrong.cast("bigint"))
+    return obs.withColumn("seq", placed)
+
+
 def ingest(
     store: SnapshotStore,
     obs: DataFrame,
     dictionary: AttrDictionary,
     batch_id: str,
     count_repeats: bool = False,
+    by_batch: bool = False,
 ) -> int:
     """Merge a batch of observations: its partial fold becomes one more segment.
 
-    The cost grows with the batch, not with the store.
+    The cost grows with the batch, not with the store. ``by_batch`` is for arrival numbers
+    that begin anew in each batch, such as positions in files: earlier batches arrived
+    earlier.
     """
+    if by_batch:
+        head = store.head()
+        obs = after_batches(obs, head["version"] + 1 if head else 1)
     return store.append(day_tables(obs, dictionary, count_repeats), batch_id)
 
 
@@ -106,8 +124,6 @@ def stored_tables(store: SnapshotStore, version: int | None = None) -> dict[str,
     raw = {name: store.read(name, version) for name in MERGES}
     if any(table is None for table in raw.values()):
         raise ValueError(f"the store at {store.root} is empty")
-    if store.segment_count("attr_day") == 1 and version is None:
-        return raw
     return merge_tables(raw)
 
 
@@ -181,10 +197,6 @@ def with_row_key(base: DataFrame) -> DataFrame:
     return base.withColumn("row_key", row_key(*cols))
 
 
-def nested_snapshot(base: DataFrame) -> DataFrame:
-    return with_row_key(nest_base(base))
-
-
 def load(
     store: SnapshotStore,
     obs: DataFrame,
@@ -192,27 +204,30 @@ def load(
     batch_id: str,
     as_of: int | None = None,
     documents_path: str | None = None,
+    by_batch: bool = False,
 ) -> int:
     """One-step load: fold, merge into the store and write the search documents.
 
     The new segment is written first and read back, so the observations are folded once.
+    A batch that is already stored gets its documents again: its segment is compared with
+    the version before it, whatever came later, and its folder is overwritten.
     """
-    before = {name: store.read(name) for name in MERGES}
-    version = ingest(store, obs, dictionary, batch_id)
+    ingest(store, obs, dictionary, batch_id, by_batch=by_batch)
+    version = store.version_of(batch_id)
     if documents_path is None:
         return version
     after = {name: store.read(name, version) for name in MERGES}
-    old = before["attr_day"]
+    old = store.read("attr_day", version - 1) if version > 1 else None
     if old is None:
         old = after["attr_day"].limit(0)
     arrived = store.newest("attr_day", version)
     moment = F.lit(as_of) if as_of is not None else F.unix_timestamp()
     rows = base_rows_to_index(old, arrived)
     base_docs = base_documents(after["attr_day"], moment, rows)
-    write_documents(base_json(base_docs), f"{documents_path}/base")
+    write_documents(base_json(base_docs), f"{documents_path}/base", "overwrite")
     entities = info_entities_to_index(old, arrived, dictionary)
     info_docs = info_documents(
         info_attributes(after["attr_day"], dictionary), moment, entities
     )
-    write_documents(info_json(info_docs), f"{documents_path}/info")
+    write_documents(info_json(info_docs), f"{documents_path}/info", "overwrite")
     return version

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from dossierlake.dictionary import AttrDictionary
 from dossierlake.functions.keys import entity_key
 from dossierlake.functions.times import time_text
-from dossierlake.operators import assemble, attributes, fold, lookup
+from dossierlake.operators import assemble, attributes, documents, fold, lookup
 from dossierlake.plans import profiles as plan
 from dossierlake.plans import runlog
 from dossierlake.plans.queries import oracle as q
 from dossierlake.plans.queries.common import SPLITS, attr_sides, flat, fresh_store, sides
 from dossierlake.plans.store import SnapshotStore, parquet_codec
 from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
-from dossierlake.session import spread, work_dir
+from dossierlake.session import work_dir
 from dossierlake.sources import adapters, generator, paths, streams, tagged_tsv
 from dossierlake.sources.adapters import DICTIONARY, load_events, load_lines, table
 from dossierlake.streaming import merge as stream_merge
@@ -71,7 +71,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("\t", *cells, F.lit("x"), F.lit("1"), F.lit(""))
     )
     path = work_dir(spark, "broken")
-    events.select(line.alias("value")).write.text(path)
+    tagged_tsv.write_lines(events.select(line.alias("value")), path, list(TSV_COLUMNS))
     scan = tagged_tsv.scan_tagged(spark, path, TSV_DICTIONARY, layout=list(TSV_COLUMNS))
     bad = scan.quarantine.groupBy("reason").agg(F.count(F.lit(1)).alias("cnt"))
     good = scan.observations.agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("cnt"))
@@ -109,7 +109,7 @@ def one_step_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = work_dir(spark, f"load-{name}")
         tagged_tsv.write_tagged(part, path, list(TSV_COLUMNS))
         scan = tagged_tsv.scan_tagged(spark, path, TSV_DICTIONARY, layout=list(TSV_COLUMNS))
-        plan.load(store, scan.observations, TSV_DICTIONARY, name, 0, f"{docs}/{name}")
+        plan.load(store, scan.observations, TSV_DICTIONARY, name, 0, f"{docs}/{name}", True)
     info = plan.stored_profiles(store, TSV_DICTIONARY).info_attr
     values = info.groupBy("code").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum("last_time").alias("times")
@@ -125,6 +125,81 @@ def one_step_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values.unionByName(counts[0]).unionByName(counts[1])
 
 
+def arrival_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tagged loads whose rows share their days: ties and late rows across batches."""
+    store = fresh_store(spark, "arrivals")
+    obs = load_events(spark, sf_dir)
+    day = F.date_trunc("day", F.timestamp_seconds("capture_time"))
+    obs = obs.withColumn("time", F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
+    for batch in range(3):
+        part = obs.where(F.col("seq") % 3 == batch).orderBy("seq")
+        path = work_dir(spark, f"arrival-{batch}")
+        coded = part.select(*[F.col(name).alias(code) for code, name in TSV_COLUMNS.items()])
+        tagged_tsv.write_tagged(coded, path, list(TSV_COLUMNS))
+        scan = tagged_tsv.scan_tagged(spark, path, TSV_DICTIONARY, layout=list(TSV_COLUMNS))
+        plan.ingest(store, scan.observations, TSV_DICTIONARY, f"b{batch}", by_batch=True)
+    return plan.stored_profiles(store, TSV_DICTIONARY).info_attr
+
+
+def load_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that died between store and documents is repeated after a later batch came in."""
+    store = fresh_store(spark, "retry")
+    old, new = adapters.split_stored(load_events(spark, sf_dir), SPLITS["e"])
+    plan.ingest(store, old, DICTIONARY, "old")
+    plan.ingest(store, new, DICTIONARY, "new")
+    plan.ingest(store, old.limit(1).withColumn("oid", F.lit("other")), DICTIONARY, "later")
+    docs = work_dir(spark, "retry-docs")
+    plan.load(store, new, DICTIONARY, "new", 0, docs)
+    lines = spark.read.text(f"{docs}/base")
+    fields = [documents.FIELD_OID, documents.FIELD_DATA_SOURCE, documents.FIELD_PROTOCOL,
+              documents.FIELD_ACTION]
+    doc = F.from_json("value", "id string, page bigint, H010014 bigint, A010001 string, "
+                      "A010002 string, B050016 string, H010001 string, H010003 string, "
+                      "props array<map<string,string>>")
+    text = F.transform("doc.props", lambda p: F.concat(F.map_keys(p)[0], F.lit("="), F.map_values(p)[0]))
+    read = lines.select(doc.alias("doc")).select("*", F.array_join(text, ";").alias("props"))
+    return read.select("doc.id", *[f"doc.{f}" for f in fields], "props")
+
+
+def delete_base_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base profiles go, info profiles of the same entities stay readable."""
+    store = fresh_store(spark, "delete-base")
+    old, new = adapters.split_stored(load_lines(spark, sf_dir), SPLITS["o"])
+    plan.ingest(store, old, DICTIONARY, "old")
+    plan.ingest(store, new, DICTIONARY, "new")
+    plan.delete_entities(store, new.select(*ENTITY), "gone", base=True, info=False)
+    left = plan.stored_profiles(store, DICTIONARY)
+    base = left.base.groupBy(*ENTITY).agg(F.count(F.lit(1)).alias("value_rows"))
+    info = flat(left.info).select(*ENTITY, "cnt", "days")
+    return info.join(base, ENTITY, "left")
+
+
+def mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with the layout, with two columns swapped and without a header."""
+    root = work_dir(spark, "mixed")
+    coded = _coded(spark, sf_dir)
+    names = list(TSV_COLUMNS)
+    swapped = [*names[:4], names[5], names[4], *names[6:]]
+    source = F.col("B050016")
+    tagged_tsv.write_tagged(coded.where(source == "click"), f"{root}/a", names)
+    tagged_tsv.write_tagged(coded.where(source == "view"), f"{root}/b", swapped)
+    assemble.delimited(coded.where(~source.isin("click", "view")), names, "\t").write.text(f"{root}/c")
+    scan = tagged_tsv.scan_tagged(spark, [f"{root}/{x}" for x in "abc"], TSV_DICTIONARY, layout=names)
+    good = scan.observations.groupBy("data_source").agg(F.count(F.lit(1)).alias("cnt"))
+    bad = scan.quarantine.where(~F.col("value").startswith("@")).groupBy("reason")
+    return good.unionByName(
+        bad.agg(F.count(F.lit(1)).alias("cnt")).withColumnRenamed("reason", "data_source")
+    )
+
+
+def store_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge whose input patterns match nothing goes on with the store."""
+    root = work_dir(spark, "store-only")
+    load_lines(spark, sf_dir).write.parquet(f"{root}/store/part-old")
+    rows = paths.read_merge_inputs(spark, f"{root}/in/*", f"{root}/store/part-*")
+    return rows.groupBy("src", "data_source").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 # -- files and the store --------------------------------------------------------------
 
 
@@ -229,6 +304,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{root}/out",
             {
                 "rows.written": F.count(F.lit(1)),
+                "rows.key.urgent": F.sum(F.when(F.col("S1") == "1-URGENT", 1).otherwise(0)),
                 "rows.open": F.sum(F.when(F.col("action") == "O", 1).otherwise(0)),
                 "bytes.text": F.sum(F.length("M1")),
             },
@@ -243,7 +319,8 @@ def counter_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of one job per order status, each with its place in the sorted line."""
     root = work_dir(spark, "counters")
     obs = load_lines(spark, sf_dir)
-    names = [f"{group}.{status}" for group in ("seen", "dated") for status in ("O", "F", "P")]
+    groups = ("seen.in", "dated")
+    names = [f"{group}.{status}" for group in groups for status in ("O", "F", "P")]
 
     def job() -> dict[str, int]:
         of = {s: F.col("action") == s for s in ("O", "F", "P")}
@@ -284,7 +361,7 @@ def _props_text() -> Column:
 
 
 def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = spread(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+    ids = table(spark, sf_dir, "orders").select("o_orderkey")
     obs = generator.generate(ids, GENERATOR, "o_orderkey")
     return obs.withColumn("props", _props_text())
 
@@ -569,6 +646,12 @@ _SHOWN = (
     "'S1=' || S1 || ',S2=' || S2 || ',M1=' || replace(M1, ',', ',M1=') AS props"
 )
 
+_ARRIVALS = q.E_OBS.replace(
+    "epoch_us(ts) // 1000000 AS capture_time, event_id AS seq",
+    "epoch_us(date_trunc('day', ts)) // 1000000 AS capture_time, "
+    "(event_id % 3) * 1000000000000 + event_id AS seq",
+)
+
 QUERIES = {
     "src1_tagged_scan": (
         tagged_scan,
@@ -585,6 +668,36 @@ QUERIES = {
         f"{q.with_(q.O_OBS)} SELECT CASE WHEN capture_time < {SPLITS['o']} THEN 'store' ELSE 'new' "
         "END AS src, data_source, count(*) AS cnt FROM o_obs GROUP BY ALL",
     ),
+    "src3_store_only": (
+        store_only,
+        f"{q.with_(q.O_OBS)} SELECT 'store' AS src, data_source, count(*) AS cnt FROM o_obs GROUP BY ALL",
+    ),
+    "src1_mixed_headers": (
+        mixed_headers,
+        "SELECT CASE event_type WHEN 'click' THEN 'click' ELSE 'header differs' END AS data_source, "
+        "count(*) AS cnt FROM events GROUP BY 1",
+    ),
+    "agg6_arrival_batches": (
+        arrival_batches,
+        f"{q.with_(_ARRIVALS, q.attrs('e'))}, {q.info_attr('e_attr', 'i')} SELECT entity_type, oid, "
+        f"{_CODE} AS code, kind, value, last_time, last_arrival_time FROM i",
+    ),
+    "lkp3_delete_base_only": (
+        delete_base_only,
+        f"{_O}, {q.sides('o')}, {q.info('o_obs', 'i')}, b AS (SELECT entity_type, oid, "
+        f"count(DISTINCT ({q.KEY}, code, value)) AS value_rows FROM o_attr WHERE oid NOT IN "
+        "(SELECT oid FROM o_new_obs) GROUP BY ALL) SELECT entity_type, oid, cnt, days, value_rows "
+        "FROM i LEFT JOIN b USING (entity_type, oid)",
+    ),
+    "snk14_retry": (
+        load_retry,
+        f"{_E}, {q.sides('e')}, fresh AS (SELECT DISTINCT {q.KEY} FROM (SELECT {q.KEY}, code, value "
+        f"FROM e_new EXCEPT SELECT {q.KEY}, code, value FROM e_old)) SELECT md5(entity_type || {q.SEP} "
+        f"|| oid || {q.SEP} || data_source || {q.SEP} || protocol || {q.SEP} || action) AS id, "
+        "oid AS A010002, data_source AS B050016, protocol AS H010001, action AS H010003, "
+        "string_agg(code || '=' || value, ';' ORDER BY code, value) AS props FROM (SELECT DISTINCT "
+        f"{q.KEY}, code, value FROM e_attr SEMI JOIN fresh USING ({q.KEY})) GROUP BY {q.KEY}",
+    ),
     "src4_snapshot_scan": (snapshot_scan, _E_BASE),
     "src5_queue_source": (
         queue_source,
@@ -667,12 +780,14 @@ QUERIES = {
         run_log,
         f"{q.with_(q.O_OBS)} SELECT 'copy lines' AS job_name, 'rows' AS counter_group, 'written' AS "
         "counter_name, count(*) AS total FROM o_obs UNION ALL SELECT 'copy lines', 'rows', 'open', "
-        "count(*) FILTER (action = 'O') FROM o_obs UNION ALL SELECT 'copy lines', 'bytes', 'text', "
+        "count(*) FILTER (action = 'O') FROM o_obs UNION ALL SELECT 'copy lines', 'rows', "
+        "'key.urgent', count(*) FILTER (S1 = '1-URGENT') FROM o_obs UNION ALL "
+        "SELECT 'copy lines', 'bytes', 'text', "
         "CAST(sum(length(M1)) AS BIGINT) FROM o_obs",
     ),
     "srt2_counter_order": (
         counter_order,
-        f"{q.with_(q.O_OBS)}, c AS (SELECT 'seen' AS counter_group, action AS counter_name, "
+        f"{q.with_(q.O_OBS)}, c AS (SELECT 'seen' AS counter_group, 'in.' || action AS counter_name, "
         "count(*) AS total FROM o_obs GROUP BY 2 UNION ALL SELECT 'dated', action, "
         "max(capture_time) FROM o_obs GROUP BY 2) SELECT *, row_number() OVER "
         "(ORDER BY counter_group, counter_name) AS place FROM c",

@@ -18,6 +18,8 @@ from dossierlake.sources.adapters import DICTIONARY, load_events, load_lines, ta
 
 # The index time that documents carry in the checks.
 AS_OF = 1_700_000_000
+# Pages of the paged variants.
+PAGES = 3
 
 
 def base_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,11 +80,10 @@ def classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = sides(spark, sf_dir, "o")
-    counters = merge.merge_counters(old, new)
-    return counters.where(F.col("counter").contains("_NUM_"))
+    return merge.merge_counters(old, new)
 
 
-def accumulators(spark: SparkSession, sf_dir: str) -> DataFrame:
+def accumulators(spark: SparkSession, sf_dir: str, pages: int = 1) -> DataFrame:
     events = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k")
     pairs = [
@@ -97,9 +98,9 @@ def accumulators(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("p")
     ).select("p.*")
     cents = F.round(F.col("value").try_cast("double") * 100).cast("bigint").cast("string")
-    return accumulate.accumulate(fields).select(
+    return accumulate.accumulate(fields, pages).select(
         "field",
-        F.col("part").cast("bigint").alias("part"),
+        F.col("page").cast("bigint").alias("page"),
         F.when(F.col("field").startswith("f:"), cents).otherwise(F.col("value")).alias("value"),
     )
 
@@ -128,10 +129,10 @@ def grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nested(spark: SparkSession, sf_dir: str, pages: int = 1) -> DataFrame:
     rows = attribute_rows(load_lines(spark, sf_dir), DICTIONARY)
     base = materialize(fold.base_profile(fold.fold_attr_day(rows)), "base")
-    nest = assemble.nest_base(base)
+    nest = assemble.nest_base(base, pages)
     text = F.transform(
         "props",
         lambda p: F.concat_ws(
@@ -139,7 +140,10 @@ def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     return nest.select(
-        *ROW_KEY, F.size("props").cast("bigint").alias("n"), F.array_join(text, ";").alias("props")
+        *ROW_KEY,
+        F.col("page").cast("bigint").alias("page"),
+        F.size("props").cast("bigint").alias("n"),
+        F.array_join(text, ";").alias("props"),
     )
 
 
@@ -216,18 +220,19 @@ def attribute_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.unionByName(either)
 
 
-def _base_docs(spark: SparkSession, sf_dir: str, compat: bool) -> DataFrame:
+def _base_docs(spark: SparkSession, sf_dir: str, compat: bool, pages: int = 1) -> DataFrame:
     tables = attr_sides(spark, sf_dir, "o")
     docs = documents.base_documents(
         tables[0].unionByName(tables[1]),
         F.lit(AS_OF),
         documents.base_rows_to_index(*tables),
         compat_ids=compat,
+        pages=pages,
     )
     text = F.transform(
         "props", lambda p: F.concat(F.map_keys(p)[0], F.lit("="), F.map_values(p)[0])
     )
-    return docs.withColumn("props", F.array_join(text, ";")).drop("part")
+    return flat(docs.withColumn("props", F.array_join(text, ";")))
 
 
 def base_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,13 +243,14 @@ def base_documents_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _base_docs(spark, sf_dir, compat=True)
 
 
-def _info_docs(spark: SparkSession, sf_dir: str, compat: bool) -> DataFrame:
+def _info_docs(spark: SparkSession, sf_dir: str, compat: bool, pages: int = 1) -> DataFrame:
     tables = attr_sides(spark, sf_dir, "o")
     entities = documents.info_entities_to_index(*tables, DICTIONARY, compat_trigger=compat)
     info = fold.info_attributes(tables[0].unionByName(tables[1]), DICTIONARY)
-    docs = documents.info_documents(info, F.lit(AS_OF), entities)
+    docs = documents.info_documents(info, F.lit(AS_OF), entities, pages)
     return docs.select(
-        "id", documents.FIELD_TIME, documents.FIELD_TYPE, documents.FIELD_OID,
+        "id", F.col("page").cast("bigint").alias("page"),
+        documents.FIELD_TIME, documents.FIELD_TYPE, documents.FIELD_OID,
         F.try_element_at("single", F.lit("S1")).alias("S1"),
         F.try_element_at("single", F.lit("S2")).alias("S2"),
         F.array_join(F.try_element_at("multi", F.lit("M1")), ",").alias("M1"),
@@ -259,6 +265,22 @@ def info_documents_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _info_docs(spark, sf_dir, compat=True)
 
 
+def accumulators_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accumulators(spark, sf_dir, PAGES)
+
+
+def nested_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested(spark, sf_dir, PAGES)
+
+
+def base_documents_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _base_docs(spark, sf_dir, compat=False, pages=PAGES)
+
+
+def info_documents_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _info_docs(spark, sf_dir, compat=False, pages=PAGES)
+
+
 _E = q.fixture("e")
 _O = q.fixture("o")
 _BASE = f"{q.KEY}, code, value, cnt, first_time, last_time, day_cnt, days"
@@ -286,6 +308,54 @@ def _throughput_sql() -> str:
     )
 
 
+def _page(pages: int, *items: str) -> str:
+    digest = f"md5({f' || {q.SEP} || '.join(items)})"
+    return f"{q.hex_number(f'substr({digest}, 1, 8)')} % {pages}"
+
+
+def _paged_id(sql: str, pages: int) -> str:
+    return sql if pages == 1 else f"{sql} || '-' || page"
+
+
+def _counter_sql() -> str:
+    """Status counts, and the bytes of day-table rows read, written and left alone.
+
+    A row counts the bytes of its texts and eight for each of its numbers.
+    """
+    ctes, rows = [], []
+    texts = {name: f"strlen({name})" for name in [*q.KEY.split(", "), "code", "value"]}
+    for label, kind, key, numbers in (
+        ("BASE", "", [*q.KEY.split(", "), "code", "value"], 6),
+        ("INFO", "_obs", ["entity_type", "oid"], 4),
+    ):
+        columns, group = ", ".join(key), q.KEY if label == "BASE" else "entity_type, oid"
+        size = " + ".join([texts[k] for k in key]) + f" + {8 * numbers}"
+        name = label.lower()
+        for side in ("old", "new"):
+            ctes.append(
+                f"{name}_{side} AS (SELECT {group}, CAST(sum({size}) AS BIGINT) AS bytes FROM "
+                f"(SELECT DISTINCT {columns}, {q.day()} AS day FROM o_{side}{kind}) GROUP BY {group})"
+            )
+        ctes.append(
+            f"{name}_keys AS (SELECT o.bytes AS old_bytes, n.bytes AS new_bytes FROM {name}_old o "
+            f"FULL JOIN {name}_new n USING ({group}))"
+        )
+        old, new = "old_bytes IS NOT NULL", "new_bytes IS NOT NULL"
+        for counter, value in {
+            "NUM_NEW": f"count(*) FILTER (NOT ({old}))",
+            "NUM_UPDATE": f"count(*) FILTER ({old} AND {new})",
+            "NUM_UNCHANGED": f"count(*) FILTER (NOT ({new}))",
+            "BYTES_READ": f"sum(old_bytes) FILTER ({new})",
+            "BYTES_WRITE": "sum(new_bytes)",
+            "BYTES_UNCHANGED": f"sum(old_bytes) FILTER (NOT ({new}))",
+        }.items():
+            rows.append(
+                f"SELECT '{label}_{counter}' AS counter, CAST(coalesce({value}, 0) AS BIGINT) AS total "
+                f"FROM {name}_keys"
+            )
+    return f"{_O}, {q.sides('o')}, {', '.join(ctes)} {' UNION ALL '.join(rows)}"
+
+
 _DOC_FIELDS = (
     f"CAST({AS_OF} AS BIGINT) AS H010014, entity_type AS A010001, oid AS A010002, "
     "data_source AS B050016, protocol AS H010001, action AS H010003"
@@ -298,15 +368,52 @@ _PROPS = "string_agg(code || '=' || value, ';' ORDER BY code, value) AS props"
 _ROW_ID = f"entity_type || {q.SEP} || oid || {q.SEP} || data_source"
 
 
-def _info_doc_sql(changed: str) -> str:
+def _base_doc_sql(pages: int) -> str:
+    row_id = f"md5({_ROW_ID} || {q.SEP} || protocol || {q.SEP} || action)"
+    return (
+        f"{_O}, {q.sides('o')}, {_NEW_ROWS} SELECT {_paged_id(row_id, pages)} AS id, page, "
+        f"{_DOC_FIELDS}, {_PROPS} FROM (SELECT DISTINCT {q.KEY}, code, value, "
+        f"{_page(pages, 'code', 'value')} AS page FROM o_attr SEMI JOIN fresh USING ({q.KEY})) "
+        f"GROUP BY {q.KEY}, page"
+    )
+
+
+def _accumulator_sql(pages: int) -> str:
+    return (
+        "WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events) "
+        "SELECT 'l:' || event_type AS field, CAST(0 AS BIGINT) AS page, "
+        "CAST(sum(CAST(k AS BIGINT)) AS VARCHAR) AS value FROM e GROUP BY event_type UNION ALL "
+        "SELECT 'f:' || event_type, 0, CAST(CAST(round(sum(value) * 100) AS BIGINT) AS VARCHAR) "
+        "FROM e GROUP BY event_type UNION ALL "
+        f"SELECT 's:' || event_type || ':' || user_id, {_page(pages, 'k')} AS p, "
+        "string_agg(k || ';', '' ORDER BY k) FROM e GROUP BY event_type, user_id, p"
+    )
+
+
+def _nested_sql(pages: int) -> str:
+    return (
+        f"{_O}, {q.base('o_attr', 'b')} SELECT {q.KEY}, {_page(pages, 'code', 'value')} AS page, "
+        "count(*) AS n, string_agg(code || '|' || value || '|' || cnt || '|' || day_cnt, ';' "
+        f"ORDER BY code, value) AS props FROM b GROUP BY {q.KEY}, page"
+    )
+
+
+_INFO_CHANGED = (
+    "SELECT entity_type, oid FROM (SELECT entity_type, oid, code, value FROM after "
+    "EXCEPT SELECT entity_type, oid, code, value FROM before)"
+)
+
+
+def _info_doc_sql(changed: str, pages: int = 1) -> str:
     return (
         f"{_O}, {q.sides('o')}, {q.info_attr('o_attr', 'after')}, "
         f"{q.info_attr('o_old', 'before')}, changed AS ({changed}) "
-        f"SELECT {q.ENTITY_KEY} AS id, CAST({AS_OF} AS BIGINT) AS H010014, "
+        f"SELECT {_paged_id(q.ENTITY_KEY, pages)} AS id, {_page(pages, 'code', 'value')} AS page, "
+        f"CAST({AS_OF} AS BIGINT) AS H010014, "
         "entity_type AS A010001, oid AS A010002, max(CASE WHEN code = 'S1' THEN value END) AS S1, "
         "max(CASE WHEN code = 'S2' THEN value END) AS S2, "
         "string_agg(CASE WHEN code = 'M1' THEN value END, ',' ORDER BY value) AS M1 "
-        "FROM after SEMI JOIN changed USING (entity_type, oid) GROUP BY entity_type, oid"
+        "FROM after SEMI JOIN changed USING (entity_type, oid) GROUP BY entity_type, oid, page"
     )
 
 
@@ -342,37 +449,17 @@ QUERIES = {
     "agg7_classify": (
         classify, f"{_O}, {q.sides('o')}, {q.status('o_old', 'o_new', 's')} SELECT * FROM s"
     ),
-    "agg8_merge_counters": (
-        merge_counters,
-        f"{_O}, {q.sides('o')}, {q.status('o_old', 'o_new', 's')}, "
-        f"{q.status('o_old_obs', 'o_new_obs', 'si', 'entity_type, oid')}, "
-        "k AS (SELECT unnest(['NEW', 'UPDATE', 'UNCHANGED']) AS status) "
-        "SELECT 'BASE_NUM_' || status AS counter, count(s.oid) AS total FROM k LEFT JOIN s "
-        "USING (status) GROUP BY 1 UNION ALL "
-        "SELECT 'INFO_NUM_' || status, count(si.oid) FROM k LEFT JOIN si USING (status) GROUP BY 1",
-    ),
-    "agg9_accumulators": (
-        accumulators,
-        "WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events) "
-        "SELECT 'l:' || event_type AS field, CAST(0 AS BIGINT) AS part, "
-        "CAST(sum(CAST(k AS BIGINT)) AS VARCHAR) AS value FROM e GROUP BY event_type UNION ALL "
-        "SELECT 'f:' || event_type, 0, CAST(CAST(round(sum(value) * 100) AS BIGINT) AS VARCHAR) "
-        "FROM e GROUP BY event_type UNION ALL "
-        "SELECT 's:' || event_type || ':' || user_id, 0, string_agg(k || ';', '' ORDER BY k) "
-        "FROM e GROUP BY event_type, user_id",
-    ),
+    "agg8_merge_counters": (merge_counters, _counter_sql()),
+    "agg9_accumulators": (accumulators, _accumulator_sql(1)),
+    "agg9_accumulators_paged": (accumulators_paged, _accumulator_sql(PAGES)),
     "agg10_throughput": (throughput, _throughput_sql()),
     "agg11_object_grouping": (
         grouping,
         f"{q.with_(q.O_OBS)} SELECT {q.ENTITY_KEY} AS entity_key, count(*) AS records, "
         "min(seq) AS first_seq FROM o_obs GROUP BY 1",
     ),
-    "agg12_nested_profile": (
-        nested,
-        f"{_O}, {q.base('o_attr', 'b')} SELECT {q.KEY}, count(*) AS n, string_agg(code || '|' || "
-        "value || '|' || cnt || '|' || day_cnt, ';' ORDER BY code, value) AS props "
-        f"FROM b GROUP BY {q.KEY}",
-    ),
+    "agg12_nested_profile": (nested, _nested_sql(1)),
+    "agg12_nested_profile_paged": (nested_paged, _nested_sql(PAGES)),
     "win1_latest_by_window": (
         latest_by_window,
         f"{_O_INFO} SELECT entity_type, oid, code, value, last_time FROM i WHERE kind = 'single'",
@@ -437,28 +524,19 @@ QUERIES = {
         "SELECT DISTINCT entity_type, oid, 'or' FROM o_attr WHERE (code = 'M1' AND value = 'q4') "
         "OR (code = 'S2' AND value = 'RF')",
     ),
-    "snk5_base_documents": (
-        base_documents,
-        f"{_O}, {q.sides('o')}, {_NEW_ROWS} SELECT md5({_ROW_ID} || {q.SEP} || protocol || "
-        f"{q.SEP} || action) AS id, {_DOC_FIELDS}, {_PROPS} FROM (SELECT DISTINCT {q.KEY}, code, "
-        f"value FROM o_attr SEMI JOIN fresh USING ({q.KEY})) GROUP BY {q.KEY}",
-    ),
+    "snk5_base_documents": (base_documents, _base_doc_sql(1)),
+    "snk5_base_documents_paged": (base_documents_paged, _base_doc_sql(PAGES)),
     "snk5_base_documents_compat": (
         base_documents_compat,
         f"{_O}, {q.sides('o')}, {_NEW_ROWS}, cand AS (SELECT {q.KEY}, max(capture_time) AS t "
         f"FROM o_attr SEMI JOIN fresh USING ({q.KEY}) GROUP BY {q.KEY}), last AS (SELECT * FROM "
         "cand QUALIFY row_number() OVER (PARTITION BY entity_type, oid, data_source "
         "ORDER BY t DESC, protocol DESC, action DESC) = 1) "
-        f"SELECT md5({_ROW_ID}) AS id, {_DOC_FIELDS}, {_PROPS} FROM (SELECT DISTINCT {q.KEY}, "
+        f"SELECT md5({_ROW_ID}) AS id, CAST(0 AS BIGINT) AS page, {_DOC_FIELDS}, {_PROPS} FROM (SELECT DISTINCT {q.KEY}, "
         f"code, value FROM o_attr SEMI JOIN last USING ({q.KEY})) GROUP BY {q.KEY}",
     ),
-    "snk6_info_documents": (
-        info_documents,
-        _info_doc_sql(
-            "SELECT entity_type, oid FROM (SELECT entity_type, oid, code, value FROM after "
-            "EXCEPT SELECT entity_type, oid, code, value FROM before)"
-        ),
-    ),
+    "snk6_info_documents": (info_documents, _info_doc_sql(_INFO_CHANGED)),
+    "snk6_info_documents_paged": (info_documents_paged, _info_doc_sql(_INFO_CHANGED, PAGES)),
     "snk6_info_documents_compat": (
         info_documents_compat,
         _info_doc_sql(

@@ -154,8 +154,9 @@ def byte_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unsigned_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    eight = F.unhex(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 14))
-    return orders.select("o_orderkey", values.unsigned_value(eight).cast("bigint").alias("number"))
+    digits = F.md5(F.col("o_orderkey").cast("string"))
+    some = F.unhex(F.substring(digits, F.lit(1), ((F.col("o_orderkey") % 15 + 1) * 2).cast("int")))
+    return orders.select("o_orderkey", values.unsigned_value(some).cast("string").alias("number"))
 
 
 def random_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,9 +301,8 @@ QUERIES = {
     ),
     "fn8_unsigned": (
         unsigned_values,
-        "SELECT o_orderkey, "
-        + q.hex_number("substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 14)")
-        + " AS number FROM orders",
+        "SELECT o_orderkey, CAST(CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, "
+        "2 * (o_orderkey % 15 + 1)) AS HUGEINT) AS VARCHAR) AS number FROM orders",
     ),
     "fn9_random_text": (
         random_texts,

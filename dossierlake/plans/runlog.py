@@ -44,13 +44,13 @@ def write_counted(rows: DataFrame, path: str, counters: dict[str, Column]) -> di
 
 
 def counter_lines(log: DataFrame) -> DataFrame:
-    """Counters of every job, sorted by group (the part before ``.``) and name."""
+    """Counters of every job, sorted by group (the part before the first ``.``) and name (the rest)."""
     lines = log.select("job_id", "job_name", F.explode("counters").alias("counter", "total"))
     return lines.select(
         "job_id",
         "job_name",
         F.substring_index("counter", ".", 1).alias("counter_group"),
-        F.substring_index("counter", ".", -1).alias("counter_name"),
+        F.regexp_replace("counter", r"^[^.]*\.", "").alias("counter_name"),
         "total",
     ).orderBy("job_id", "counter_group", "counter_name")
 

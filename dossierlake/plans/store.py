@@ -2,7 +2,7 @@
 
 A version is a list of Parquet segments per table, written once and never changed:
 
-    <root>/data/<table>/<segment>/bucket=B/*.parquet
+    <root>/data/<table>/segment=<id>/bucket=B/*.parquet
     <root>/log/*.parquet        one row per version: its segments and its batch id
 
 Adding a batch writes only the batch and lists one more segment: the fold's measures
@@ -96,6 +96,13 @@ class SnapshotStore:
     def has_batch(self, batch_id: str) -> bool:
         return not self.log().where(F.col("batch_id") == batch_id).isEmpty()
 
+    def version_of(self, batch_id: str) -> int:
+        """Version that a batch made."""
+        row = self.log().where(F.col("batch_id") == batch_id).first()
+        if row is None:
+            raise ValueError(f"no batch {batch_id} in {self.root}")
+        return row["version"]
+
     def history(self) -> DataFrame:
         return self.log().select(
             "version", "batch_id", "created", F.size("segments").alias("segments")
@@ -115,21 +122,24 @@ class SnapshotStore:
             groups.setdefault((s["schema"], tuple(sorted(s["skip"]))), []).append(s["path"])
         scans = []
         for (schema, skip), paths in groups.items():
-            frame = reduce(
-                DataFrame.unionByName,
-                [self._scan(path, schema) for path in paths],
-            )
+            frame = self._scan(paths, schema, table)
             scans.append(frame.where(~F.col("bucket").isin(*skip)) if skip else frame)
         return reduce(DataFrame.unionByName, scans)
 
-    def _scan(self, path: str, schema: str) -> DataFrame:
+    def _scan(self, paths: list[str], schema: str, table: str) -> DataFrame:
+        """One scan over the folders ``segment=<id>`` of a table."""
         struct = StructType.fromJson(json.loads(schema))
-        return self.spark.read.schema(struct).parquet(f"{self.root}/{path}")
+        return (
+            self.spark.read.schema(struct)
+            .option("basePath", f"{self.root}/data/{table}")
+            .parquet(*[f"{self.root}/{path}" for path in paths])
+            .drop("segment")
+        )
 
     def newest(self, table: str, version: int | None = None) -> DataFrame:
         """The segment of a table that was listed last."""
         listed = [s for s in self.at(version)["segments"] if s["table"] == table]
-        return self._scan(listed[-1]["path"], listed[-1]["schema"])
+        return self._scan([listed[-1]["path"]], listed[-1]["schema"], table)
 
     def segment_count(self, table: str) -> int:
         head = self.head()
@@ -180,7 +190,7 @@ class SnapshotStore:
         return [self._write(name, rows) for name, rows in tables.items()]
 
     def _write(self, table: str, rows: DataFrame) -> dict:
-        path = f"data/{table}/{uuid.uuid4().hex}"
+        path = f"data/{table}/segment={uuid.uuid4().hex}"
         keyed = rows.drop("bucket").withColumn(
             "bucket", bucket_of(F.col("entity_type"), F.col("oid"), self.buckets)
         )

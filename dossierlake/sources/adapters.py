@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dossierlake.dictionary import AttrDictionary
 from dossierlake.functions.times import epoch_seconds
-from dossierlake.session import pin_utc, spread
+from dossierlake.session import pin_utc
 
 # Codes of both adapters.
 DICTIONARY = AttrDictionary(single=["S1", "S2"], multi=["M1"])
@@ -75,7 +75,7 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", "props"
     )
-    return event_observations(spread(events, "event_id"))
+    return event_observations(events)
 
 
 def load_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def load_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     )
-    return line_observations(spread(lineitem, "l_orderkey", "l_linenumber"), orders)
+    return line_observations(lineitem, orders)
 
 
 def split_stored(obs: DataFrame, boundary: int) -> tuple[DataFrame, DataFrame]:

@@ -48,11 +48,13 @@ def read_merge_inputs(
     store_patterns: str = "",
     schema: StructType | str | None = None,
 ) -> DataFrame:
-    """New data and stored profiles in one bag, tagged by ``src``."""
+    """New data and stored profiles in one bag, tagged by ``src``; either may be missing."""
     new = read_globs(spark, new_patterns, schema)
-    if new is None:
-        raise FileNotFoundError(f"no input at {new_patterns}")
     stored = read_globs(spark, store_patterns, schema)
+    if new is None and stored is None:
+        raise FileNotFoundError(f"no input at {new_patterns} nor at {store_patterns}")
+    if new is None:
+        return stored.withColumn("src", F.lit("store"))
     if stored is None:
         return new.withColumn("src", F.lit("new"))
     return union_inputs(stored, new)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dossierlake.dictionary import MULTI, SINGLE, AttrDictionary
@@ -85,14 +85,12 @@ def scan_tagged(
 
     A line is rejected when its width differs from the header (extra empty cells are
     fine, and with ``pad_short`` missing ones too), when type, id or time is missing,
-    or when the time does not parse. The arrival number is the position in the scan.
+    or when the time does not parse, and so are all lines of a file whose first line is not
+    the header. The arrival number is the line's position: files in order of their paths,
+    lines in order of the file.
     """
     layout = layout or read_layout(spark, paths)
-    text = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("seq"),
-    )
+    text = numbered_lines(spark, paths)
     header_line = TAG + DELIMITER.join(layout)
     data = text.where(
         (F.col("value") != "")
@@ -103,7 +101,9 @@ def scan_tagged(
     parsed = cells.select(
         "*", *_header_columns(layout), _props(layout, dictionary).alias("props")
     )
-    checked = parsed.withColumn("reason", _reason(len(layout), pad_short)).withColumns(
+    other = F.trim("header") != header_line
+    reason = F.when(other, "header differs").otherwise(_reason(len(layout), pad_short))
+    checked = parsed.withColumn("reason", reason).withColumns(
         {
             name: F.coalesce(F.col(name), F.lit(""))
             for name in ("data_source", "protocol", "action")
@@ -117,6 +117,36 @@ def scan_tagged(
     return TsvScan(good, bad)
 
 
+def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines with their file, the file's first line and their position over all files.
+
+    A first pass counts the lines of every input split. That table has one row per split,
+    which is what the driver plans the scan with anyway, so it is broadcast.
+    """
+    text = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    splits = text.groupBy("file", "block").agg(
+        F.min("at").alias("first_at"),
+        F.count(F.lit(1)).alias("n"),
+        F.min_by("value", "at").alias("head"),
+    )
+    places = Window.orderBy("file", "block")
+    splits = splits.select(
+        "file",
+        "block",
+        "first_at",
+        F.first("head").over(Window.partitionBy("file").orderBy("block")).alias("header"),
+        (F.sum("n").over(places) - F.col("n")).alias("before"),
+    )
+    return text.join(F.broadcast(splits), ["file", "block"]).select(
+        "value", "file", "header", (F.col("before") + F.col("at") - F.col("first_at")).alias("seq")
+    )
+
+
 def _cell(at: int) -> Column:
     """Cell by position; empty and missing cells are null."""
     return F.nullif(F.get("cells", F.lit(at)), F.lit(""))
@@ -171,10 +201,14 @@ def write_tagged(wide: DataFrame, path: str, layout: list[str]) -> None:
     """Write wide rows (columns named by code) as tagged files, one header per file."""
     from dossierlake.operators.assemble import delimited
 
-    line = delimited(wide.na.fill(""), layout, DELIMITER)
+    write_lines(delimited(wide.na.fill(""), layout, DELIMITER), path, layout)
+
+
+def write_lines(lines: DataFrame, path: str, layout: list[str]) -> None:
+    """Write ready lines (column ``value``) as tagged files."""
     header = TAG + DELIMITER.join(layout)
     # A CSV writer with one column puts its name on top of every file.
-    line.select(F.col("value").alias(header)).write.mode("errorifexists").options(
+    lines.select(F.col("value").alias(header)).write.mode("errorifexists").options(
         header="true", sep="\x01", quote="", escapeQuotes="false",
         ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
     ).csv(path)

@@ -72,10 +72,6 @@ def running_attr_day(stream: DataFrame, dictionary: AttrDictionary) -> DataFrame
     return fold_attr_day(attribute_rows(stream, dictionary))
 
 
-def running_entity_day(stream: DataFrame) -> DataFrame:
-    return fold_entity_day(stream)
-
-
 def first_seen(stream: DataFrame, dictionary: AttrDictionary) -> DataFrame:
     """Change feed: each (row key, code, value) once, when it is first seen.
 

@@ -139,6 +139,15 @@ def test_packed_ranks_hold_extreme_numbers(spark):
     assert days.select(fold.arrival_time(F.col("arrival"))).distinct().collect()[0][0] == 99_999_999_999
 
 
+def test_times_before_1970_and_values_without_room(spark):
+    kinds = "capture_time bigint, seq bigint, pos int"
+    rank = fold.arrival_time(fold.arrival_rank())
+    assert spark.createDataFrame([(-5, 3, 0)], kinds).select(rank).first()[0] == -5
+    for row in ((5 * 10**12, 0, 0), (0, -1, 0), (0, 0, 10**6)):
+        with pytest.raises(Exception, match="out of range"):
+            spark.createDataFrame([row], kinds).select(fold.latest_rank()).collect()
+
+
 def test_dictionary_text_is_trimmed_and_a_set():
     assert split_codes("a,b,b, c\n\t\t,,") == ["a", "b", "c"]
     d = AttrDictionary.from_text("a,b\n", "c")

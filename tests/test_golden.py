@@ -5,8 +5,15 @@ from pyspark.sql import functions as F
 
 from dossierlake.functions.keys import entity_key
 from dossierlake.operators import assemble, merge
-from dossierlake.operators.fold import info_attributes, merge_attr_day
-from dossierlake.plans.profiles import build_profiles, day_tables, merge_tables, profiles_of
+from dossierlake.plans.profiles import (
+    build_profiles,
+    day_tables,
+    ingest,
+    merge_tables,
+    profiles_of,
+    stored_profiles,
+)
+from dossierlake.plans.store import SnapshotStore
 from dossierlake.sources.tagged_tsv import scan_tagged
 from tests import sample
 from tests.sample import DICTIONARY
@@ -96,11 +103,12 @@ def test_merged_profile(obs):
     assert rows["B010007", "a"][:2] == (3, 3)
 
 
-def test_late_multi_value_keeps_its_last_time(spark, obs):
+def test_late_multi_value_keeps_its_last_time(spark, obs, out):
     """Late data: last_time is a maximum, the arrival variant follows the arrival."""
-    late = obs[1].withColumn("seq", F.col("seq") + 1000)
-    days = merge_attr_day(*(day_tables(o, DICTIONARY)["attr_day"] for o in (obs[0], late)))
-    info = info_attributes(days, DICTIONARY).where("oid = 'u1'")
+    store = SnapshotStore(spark, out("golden"), buckets=2)
+    for n, part in enumerate(obs):
+        ingest(store, part, DICTIONARY, f"file{n}", by_batch=True)
+    info = stored_profiles(store, DICTIONARY).info_attr.where("oid = 'u1'")
     found = {
         (r["code"], r["value"]): (r["last_time"], r["last_arrival_time"]) for r in info.collect()
     }

@@ -88,7 +88,7 @@ def test_load_writes_documents_of_what_is_new(spark, out):
         plan.load(store, obs, DICTIONARY, f"b{n}", as_of=77, documents_path=out(f"docs{n}"))
     base = [json.loads(r["value"]) for r in spark.read.text(out("docs0/base")).collect()]
     assert base[0]["props"] == [{"M1": "k"}, {"M1": "m"}, {"S1": "s"}]
-    assert base[0]["H010014"] == 77 and base[0]["H010001"] == "p" and "part" not in base[0]
+    assert base[0]["H010014"] == 77 and base[0]["H010001"] == "p" and base[0]["page"] == 0
     info = [json.loads(r["value"]) for r in spark.read.text(out("docs0/info")).collect()]
     assert info[0]["S1"] == "s" and info[0]["M1"] == ["k", "m"] and info[0]["A010002"] == "o"
     for kind in ("base", "info"):
