@@ -2,7 +2,7 @@
 
 A page is read as words and tags. Words score positive, tags negative, and an element whose name or
 class is one of menus, adverts and the like is closed off: its words are no part of the text and it
-scores as one tag. One scan finds the contiguous stretch with the highest sum; the blocks in it are
+scores nothing. One scan finds the contiguous stretch with the highest sum; the blocks in it are
 the main text. All weights are counted on labelled pages: a tag costs more the more often it stands
 outside the main text, and an element is closed off if its name or a word of its class, id or role
 is found outside only.
@@ -134,21 +134,22 @@ def main_blocks(page: str, w: Weights) -> list[str]:
         elif name not in INLINE and not shut and blocks[-1]:
             blocks.append([])
         if m["close"]:
+            ended = False  # a closed-off element's own end
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     if shut > i:
-                        shut = 0
+                        shut, ended = 0, shut == i + 1
                     texts -= sum(x[0] in TEXTS for x in stack[i:])
                     del stack[i:]
                     break
-            if not shut:
+            if not shut and not ended:
                 total -= w.tags.get(name, w.other_tag) / 2
             continue
         if shut and name in TEXTS and stack[shut - 1][1]:
             shut = 0  # a wrapper with a telling class around the text itself
-        if not shut:
-            total -= w.tags.get(name, w.other_tag) / 2
+        cost = 0.0 if shut else w.tags.get(name, w.other_tag) / 2
         if name in VOID or m["attrs"].endswith("/"):
+            total -= cost
             continue
         by_class = any(f".{s}" in w.closed for s in marks(m["attrs"]))
         by_class = by_class and name not in ROOTS and name not in TEXTS
@@ -160,9 +161,10 @@ def main_blocks(page: str, w: Weights) -> list[str]:
         stack.append((name, by_class and not by_name))
         texts += name in TEXTS
         if not shut and (by_class or by_name):
-            shut = len(stack)
+            shut, cost = len(stack), 0.0
             if blocks[-1] and name not in INLINE:
                 blocks.append([])
+        total -= cost
     words(page[at:])
     joined = (" ".join(entities.unescape("".join(b)).split()) for b in blocks[found[0] : found[1] + 1])
     return [block for block in joined if block]
