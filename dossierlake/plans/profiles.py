@@ -31,9 +31,9 @@ from dossierlake.operators.fold import (
     merge_entity_day,
 )
 from dossierlake.operators.lookup import without_entities
-from dossierlake.operators.merge import changed_part, classify
+from dossierlake.operators.merge import classify, keep_keys
 from dossierlake.plans.store import SnapshotStore
-from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
+from dossierlake.schema import ENTITY, ROW_KEY
 
 MERGES = {"attr_day": merge_attr_day, "entity_day": merge_entity_day}
 # Arrival numbers of one batch.
@@ -141,6 +141,24 @@ def find_in_store(
     return profiles_of(merge_tables(raw), dictionary)
 
 
+def find_many_in_store(
+    store: SnapshotStore, keys: DataFrame, dictionary: AttrDictionary
+) -> Profiles:
+    """Profiles of all entities of a key table in one job.
+
+    Only the buckets of the keys are listed, and the rows are narrowed to the keys before
+    they are merged.
+    """
+    buckets = store.touched_buckets(keys)
+    raw = {
+        name: keep_keys(
+            store.read(name).where(F.col("bucket").isin(*buckets)), keys, ENTITY, next_key=DAY_KEYS[name]
+        )
+        for name in MERGES
+    }
+    return profiles_of(merge_tables(raw), dictionary)
+
+
 def compact(store: SnapshotStore, batch_id: str) -> int:
     return store.compact(MERGES, batch_id)
 
@@ -171,25 +189,62 @@ def merge_snapshots(
     merged.join(status, ROW_KEY).write.partitionBy("status").mode("errorifexists").parquet(path)
 
 
+def merge_info_snapshots(
+    stored: dict[str, DataFrame], new: dict[str, DataFrame], path: str
+) -> None:
+    """The same for info profiles: split by ``status`` of the entity."""
+    merged = info_profile(merge_entity_day(stored["entity_day"], new["entity_day"]))
+    status = classify(stored["entity_day"], new["entity_day"], ENTITY)
+    merged.join(status, ENTITY).write.partitionBy("status").mode("errorifexists").parquet(path)
+
+
 def export_changed(
+    serving: SnapshotStore, stored: DataFrame | None, new: DataFrame, batch_id: str
+) -> int:
+    """Upsert the base profiles that new data changes, under their row keys.
+
+    ``stored`` and ``new`` are ``attr_day`` tables. Stored rows are narrowed to the changed
+    row keys before anything is merged.
+    """
+    touched = new.select(*ROW_KEY).distinct()
+    parts = [new]
+    if stored is not None:
+        parts.append(keep_keys(stored, touched, ROW_KEY, next_key=ATTR_DAY_KEY))
+    changed = with_row_key(base_profile(merge_attr_day(*parts)))
+    return _upsert(serving, "base", changed, touched, ROW_KEY, batch_id)
+
+
+def export_changed_info(
+    serving: SnapshotStore, stored: DataFrame | None, new: DataFrame, batch_id: str
+) -> int:
+    """Upsert the info profiles that new data changes; both are ``entity_day`` tables."""
+    touched = new.select(*ENTITY).distinct()
+    parts = [new]
+    if stored is not None:
+        parts.append(keep_keys(stored, touched, ENTITY, next_key=ENTITY_DAY_KEY))
+    changed = info_profile(merge_entity_day(*parts))
+    return _upsert(serving, "info", changed, touched, ENTITY, batch_id)
+
+
+def _upsert(
     serving: SnapshotStore,
-    merged_attr_day: DataFrame,
-    new_attr_day: DataFrame,
+    table: str,
+    changed: DataFrame,
+    touched: DataFrame,
+    key: list[str],
     batch_id: str,
 ) -> int:
-    """Upsert the changed base profiles, under their row keys, into a serving table."""
-    touched_rows = new_attr_day.select(*ROW_KEY).distinct()
-    changed = with_row_key(base_profile(changed_part(merged_attr_day, touched_rows, next_key=ATTR_KEY)))
-    current = serving.read("base")
+    """Replace the rows of the touched keys; only their buckets are rewritten."""
+    current = serving.read(table)
     if current is None:
-        return serving.append({"base": changed}, batch_id)
-    touched = serving.touched_buckets(touched_rows.select(*ENTITY))
+        return serving.append({table: changed}, batch_id)
+    buckets = serving.touched_buckets(touched.select(*ENTITY))
     kept = (
-        current.where(F.col("bucket").isin(*touched))
+        current.where(F.col("bucket").isin(*buckets))
         .drop("bucket")
-        .join(touched_rows, ROW_KEY, "left_anti")
+        .join(touched, key, "left_anti")
     )
-    return serving.rewrite({"base": kept.unionByName(changed)}, batch_id, touched)
+    return serving.rewrite({table: kept.unionByName(changed)}, batch_id, buckets)
 
 
 def with_row_key(base: DataFrame) -> DataFrame:

@@ -277,12 +277,38 @@ def serving_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Serving table filled with the stored profiles, then upserted with the changed ones."""
     old, new = attr_sides(spark, sf_dir, "o")
     serving = fresh_store(spark, "serving")
-    plan.export_changed(serving, old, old, "first")
-    merged = fold.merge_attr_day(old, new)
-    plan.export_changed(serving, merged, new, "second")
+    plan.export_changed(serving, None, old, "first")
+    plan.export_changed(serving, old, new, "second")
     return flat(serving.read("base").drop("bucket"))
 
 
+def info_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for info profiles."""
+    old, new = (side["entity_day"] for side in sides(spark, sf_dir, "o"))
+    serving = fresh_store(spark, "serving-info")
+    plan.export_changed_info(serving, None, old, "first")
+    plan.export_changed_info(serving, old, new, "second")
+    return flat(serving.read("info").drop("bucket"))
+
+
+def info_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = sides(spark, sf_dir, "o")
+    path = f"{work_dir(spark, 'merged-info')}/day"
+    plan.merge_info_snapshots(old, new, path)
+    return flat(spark.read.parquet(path))
+
+
+def many_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Info attributes of every customer with an urgent returned line, in one job."""
+    store = fresh_store(spark, "lookup-many")
+    obs = load_lines(spark, sf_dir)
+    for name, part in zip(("old", "new"), adapters.split_stored(obs, SPLITS["o"])):
+        plan.ingest(store, part, DICTIONARY, name)
+    keys = obs.where("S1 = '1-URGENT' AND data_source = 'R'").select(*ENTITY)
+    found = plan.find_many_in_store(store, keys, DICTIONARY)
+    return found.info_attr.join(flat(found.info).select(*ENTITY, "cnt", "days"), ENTITY)
+
+
 def status_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = sides(spark, sf_dir, "o")
     path = f"{work_dir(spark, 'merged')}/day"
@@ -719,6 +745,23 @@ QUERIES = {
         f"{_E}, {q.info_attr('e_attr', 'a')}, {q.info('e_obs', 'i')} SELECT a.*, i.cnt, i.days "
         "FROM a JOIN i USING (entity_type, oid) WHERE oid = '8'",
     ),
+    "lkp1_many": (
+        many_lookups,
+        f"{_O}, {q.info_attr('o_attr', 'a')}, {q.info('o_obs', 'i')}, k AS (SELECT DISTINCT oid FROM "
+        "o_obs WHERE S1 = '1-URGENT' AND data_source = 'R') SELECT a.*, i.cnt, i.days "
+        "FROM a JOIN i USING (entity_type, oid) WHERE oid IN (SELECT oid FROM k)",
+    ),
+    "joi1_info_merge": (
+        info_merge,
+        f"{_O}, {q.sides('o')}, {q.info('o_obs', 'i')}, "
+        f"{q.status('o_old_obs', 'o_new_obs', 's', 'entity_type, oid')} SELECT entity_type, oid, cnt, "
+        "first_time, last_time, day_cnt, days, status FROM i JOIN s USING (entity_type, oid)",
+    ),
+    "snk2_info_upsert": (
+        info_upsert,
+        f"{q.with_(q.O_OBS, q.info('o_obs', 'i'))} SELECT entity_type, oid, cnt, first_time, "
+        "last_time, day_cnt, days FROM i",
+    ),
     "lkp3_delete": (
         delete,
         f"{_O}, gone AS (SELECT DISTINCT oid FROM o_obs WHERE S1 = '1-URGENT' AND "

@@ -106,8 +106,8 @@ def test_serving_upsert(spark, out):
         for r in (rows[:60], rows[60:])
     )
     serving = SnapshotStore(spark, out("serving"), buckets=4)
-    plan.export_changed(serving, old, old, "a")
-    plan.export_changed(serving, plan.merge_attr_day(old, new), new, "b")
+    plan.export_changed(serving, None, old, "a")
+    plan.export_changed(serving, old, new, "b")
     got = {
         tuple(r[c] for c in plan.ROW_KEY + ["code", "value"]): r["cnt"]
         for r in serving.read("base").collect()
