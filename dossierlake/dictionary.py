@@ -16,11 +16,6 @@ MULTI = "multi"
 SINGLE_CODES = "B010001,B010011,B010012,B010013,B010014,B010015,B010026,B010027"
 MULTI_CODES = "B010007,B022001,B022002,B022003"
 
-# A dictionary is configuration. Up to this size it is inlined into expressions or
-# broadcast; beyond it lookups become an ordinary join.
-INLINE_LIMIT = 200
-BROADCAST_LIMIT = 100_000
-
 
 def split_codes(text: str) -> list[str]:
     """Comma separated codes, trimmed, blanks and repeats dropped."""
@@ -73,10 +68,9 @@ class AttrDictionary:
         return spark.createDataFrame(list(self.kinds.items()), "code string, kind string")
 
     def join_kind(self, attrs: DataFrame) -> DataFrame:
-        """Left lookup of the kind of every attribute row."""
-        if len(self.kinds) <= INLINE_LIMIT:
-            return attrs.withColumn("kind", self.kind(F.col("code")))
-        table = self.frame(attrs.sparkSession)
-        if len(self.kinds) <= BROADCAST_LIMIT:
-            table = F.broadcast(table)
-        return attrs.join(table, "code", "left")
+        """Left lookup of the kind of every attribute row.
+
+        A dictionary is configuration that the driver holds: it is a literal of the plan, here
+        as everywhere else.
+        """
+        return attrs.withColumn("kind", self.kind(F.col("code")))

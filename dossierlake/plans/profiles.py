@@ -149,16 +149,21 @@ def find_many_in_store(
     Only the buckets of the keys are listed, and the rows are narrowed to the keys before
     they are merged.
     """
-    buckets = store.touched_buckets(keys)
-    raw = {
-        name: keep_keys(
-            store.read(name).where(F.col("bucket").isin(*buckets)), keys, ENTITY, next_key=DAY_KEYS[name]
-        )
-        for name in MERGES
-    }
+    raw = {name: stored_of(store, name, keys) for name in MERGES}
     return profiles_of(merge_tables(raw), dictionary)
 
 
+def stored_of(
+    store: SnapshotStore, table: str, keys: DataFrame, version: int | None = None
+) -> DataFrame | None:
+    """Stored rows of the entities of a key table; only their buckets are listed."""
+    rows = store.read(table, version)
+    if rows is None:
+        return None
+    buckets = store.touched_buckets(keys)
+    return keep_keys(rows.where(F.col("bucket").isin(*buckets)), keys, ENTITY, next_key=DAY_KEYS[table])
+
+
 def compact(store: SnapshotStore, batch_id: str) -> int:
     return store.compact(MERGES, batch_id)
 
@@ -265,24 +270,26 @@ def load(
 
     The new segment is written first and read back, so the observations are folded once.
     A batch that is already stored gets its documents again: its segment is compared with
-    the version before it, whatever came later, and its folder is overwritten.
+    the version before it, whatever came later, and its folder is overwritten. Of the store
+    only the batch's entities are read.
     """
     ingest(store, obs, dictionary, batch_id, by_batch=by_batch)
     version = store.version_of(batch_id)
     if documents_path is None:
         return version
-    after = {name: store.read(name, version) for name in MERGES}
-    old = store.read("attr_day", version - 1) if version > 1 else None
-    if old is None:
-        old = after["attr_day"].limit(0)
     arrived = store.newest("attr_day", version)
+    keys = arrived.select(*ENTITY).distinct()
+    after = stored_of(store, "attr_day", keys, version)
+    old = stored_of(store, "attr_day", keys, version - 1) if version > 1 else None
+    if old is None:
+        old = after.limit(0)
     moment = F.lit(as_of) if as_of is not None else F.unix_timestamp()
     rows = base_rows_to_index(old, arrived)
-    base_docs = base_documents(after["attr_day"], moment, rows)
+    base_docs = base_documents(after, moment, rows)
     write_documents(base_json(base_docs), f"{documents_path}/base", "overwrite")
     entities = info_entities_to_index(old, arrived, dictionary)
     info_docs = info_documents(
-        info_attributes(after["attr_day"], dictionary), moment, entities
+        info_attributes(after, dictionary), moment, entities
     )
     write_documents(info_json(info_docs), f"{documents_path}/info", "overwrite")
     return version

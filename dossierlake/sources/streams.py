@@ -10,10 +10,6 @@ from dossierlake.functions.keys import entity_key
 from dossierlake.schema import OBS
 from dossierlake.sources.generator import GeneratorConfig, generate
 
-# Arrival numbers from a queue: milliseconds, then the offset within this many.
-OFFSET_ROOM = 1_000_000
-
-
 def kafka_stream(
     spark: SparkSession,
     brokers: str,
@@ -49,8 +45,9 @@ def kafka_stream(
 def decode_messages(messages: DataFrame) -> DataFrame:
     """Observations from messages whose ``value`` bytes hold one JSON observation.
 
-    The arrival number comes from ``(timestamp, offset)`` when the messages carry them,
-    otherwise from the message itself. Undecodable messages are dropped here; see
+    The arrival number is the message's offset, if it has one, otherwise that of the message
+    itself. Offsets order the messages of a partition, and the entity's digest is the key of
+    a message, so all observations of an entity are in one partition. Undecodable messages are dropped here; see
     ``undecodable`` for them.
     """
     parsed = messages.select("*", F.from_json(F.col("value").cast("string"), OBS).alias("obs"))
@@ -66,9 +63,7 @@ def undecodable(messages: DataFrame) -> DataFrame:
 
 
 def _arrival(messages: DataFrame):
-    if {"timestamp", "offset"} <= set(messages.columns):
-        return F.unix_millis("timestamp") * OFFSET_ROOM + F.pmod("offset", F.lit(OFFSET_ROOM))
-    return F.col("obs.seq")
+    return F.col("offset") if "offset" in messages.columns else F.col("obs.seq")
 
 
 def encode_messages(obs: DataFrame) -> DataFrame:

@@ -16,9 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from dossierlake.dictionary import AttrDictionary
 from dossierlake.operators.fold import fold_attr_day, fold_entity_day
 from dossierlake.operators.merge import new_values
-from dossierlake.plans.profiles import attribute_rows, compact, ingest
+from dossierlake.plans.profiles import attribute_rows, compact, ingest, stored_of
 from dossierlake.plans.store import SnapshotStore
-from dossierlake.schema import ATTR_KEY
+from dossierlake.schema import ATTR_KEY, ENTITY
 
 # Segments after which a stream folds the store into one.
 COMPACT_EVERY = 64
@@ -88,11 +88,12 @@ def start_change_feed(
     checkpoint: str,
     stream_id: str,
     trigger: dict | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Change feed against the store: values of a batch that the store did not know.
 
     The feed of a batch is written before the batch enters the store, into a folder of
-    its own that a replay overwrites.
+    its own that a replay overwrites. Only the buckets of the batch's entities are read.
     """
 
     def feed_batch(batch: DataFrame, number: int) -> None:
@@ -104,11 +105,13 @@ def start_change_feed(
             if batch.isEmpty():
                 return
             arriving = attribute_rows(batch, dictionary).select(*ATTR_KEY)
-            known = store.read("attr_day")
+            known = stored_of(store, "attr_day", batch.select(*ENTITY))
             fresh = arriving.distinct() if known is None else new_values(known, arriving)
             fresh.write.mode("overwrite").parquet(f"{feed_path}/batch_id={number}")
             ingest(store, batch, dictionary, batch_id)
         finally:
             batch.unpersist()
+        if store.segment_count("attr_day") >= compact_every:
+            compact(store, f"{batch_id}:compact")
 
     return start_each_batch(stream, feed_batch, checkpoint, trigger=trigger)
