@@ -6,10 +6,17 @@ document. A document's score is the mean log ratio of its n-grams, so its length
 Log ratios are whole numbers of 1/SCALE: sums are exact, and a document gets the same verdict
 wherever and however often it is scored.
 
+Scores are not comparable across languages and table sizes: a language's scores lie about the log of
+its share of trusted text over its share of all text, and smoothing moves rare n-grams. So with a
+language column, as in the registered query, each language has its own threshold, the LOW_PERCENT percentile of its trusted documents' scores, each
+counted without the document's own n-grams among the trusted ones; -THRESHOLD / their number is taken
+off for small numbers. Without trusted documents of a language nothing tells its good texts, and its
+documents are judged by the base rule alone. Calls without a language column compare with THRESHOLD.
+
 Null or empty text: all counts 0, no n-grams, failed by the word rule. Text shorter than an n-gram:
 score 0. Repeated rows: scored one by one; a document with several labels is trusted if any of them
-is 1. No labels: both multinomials are smooth and the score is that against a uniform target. Empty
-table: no rows. Other columns are not read.
+is 1. No labels: both multinomials are smooth, the score is that against a uniform target, and the base
+rule decides. Null language: a language of its own. Empty table: no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +36,7 @@ BIN_BITS = 18
 SMOOTH = 1.0
 SCALE = 10_000
 THRESHOLD = -0.20
+LOW_PERCENT = 1
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
 MAX_REPEAT_PERCENT = 30
@@ -81,7 +89,7 @@ def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def count_bins(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """bin, n-grams in trusted documents, n-grams in all documents."""
-    trusted = labels.where(F.col("quality") == 1).select(F.col("doc_id").cast("bigint")).distinct()
+    trusted = _trusted(labels)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")
     ).join(trusted.withColumn("trusted", F.lit(True)).hint("merge"), "doc_id", "left")
@@ -107,17 +115,73 @@ def count_bins(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -
     return counted.groupBy("bin").agg(F.sum("target").alias("target"), F.sum("corpus").alias("corpus"))
 
 
-def log_ratios(counts: DataFrame) -> np.ndarray:
-    """Log ratio of every bin in 1/SCALE. The table has 1 << BIN_BITS rows at most."""
+def multinomials(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Smooth counts of every bin, trusted and all. The table has 1 << BIN_BITS rows at most."""
     target = np.full(1 << BIN_BITS, SMOOTH)
     corpus = np.full(1 << BIN_BITS, SMOOTH)
     found = counts.toPandas()
     target[found["bin"]] += found["target"]
     corpus[found["bin"]] += found["corpus"]
+    return target, corpus
+
+
+def log_ratios(target: np.ndarray, corpus: np.ndarray) -> np.ndarray:
+    """Log ratio of every bin in 1/SCALE."""
     ratio = np.log(target / target.sum()) - np.log(corpus / corpus.sum())
     return np.rint(ratio * SCALE).astype(np.int32)
 
 
+def scores_without_own(
+    data: np.ndarray, offsets: np.ndarray, target: np.ndarray, corpus: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Score of each row in 1/SCALE as if its n-grams were not among the trusted ones, and n-grams."""
+    whole = whole_grams(offsets)
+    grams = row_sums(whole, offsets)
+    row = rows_of_bytes(offsets)[: len(whole)][whole]
+    keys, times = np.unique(row << BIN_BITS | bins(data)[whole], return_counts=True)
+    row, found = keys >> BIN_BITS, keys & (1 << BIN_BITS) - 1
+    # Rows that are not trusted are scored as well; their scores are not used.
+    left = np.maximum(target[found] - times, SMOOTH)
+    size = np.maximum(target.sum() - grams, 1.0)
+    ratio = np.log(left / size[row]) - np.log(corpus[found] / corpus.sum())
+    total = np.zeros(len(grams), np.int64)
+    np.add.at(total, row, np.rint(ratio * SCALE).astype(np.int64) * times)
+    return total // np.maximum(grams, 1), grams
+
+
+def thresholds(
+    docs: DataFrame, labels: DataFrame, target: np.ndarray, corpus: np.ndarray,
+    id_col: str, text_col: str, lang_col: str,
+) -> dict[str | None, int]:
+    """Least score in 1/SCALE of every language with trusted documents."""
+    shared = prepared(docs.sparkSession).sparkContext.broadcast((target, corpus))  # 2 << BIN_BITS numbers
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = flat_bytes(batch.column(2))
+            for a, b in slices(offsets, SLICE):
+                part = data[offsets[a] : offsets[b]]
+                score, grams = scores_without_own(part, offsets[a : b + 1] - offsets[a], *shared.value)
+                columns = [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)]
+                columns += [pa.array(score), pa.array(grams)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "least", "grams"])
+
+    rows = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
+        F.col(text_col).cast("string").cast("binary"),
+    )
+    scored = rows.mapInArrow(run, "doc_id bigint, lang string, least bigint, grams bigint").where("grams > 0")
+    scored = scored.join(_trusted(labels).hint("merge"), "doc_id", "left_semi")
+    # Scores are whole numbers, so a percentile holds few distinct ones.
+    low = F.percentile("least", F.lit(LOW_PERCENT / 100))
+    found = scored.groupBy("lang").agg(low.alias("low"), F.count("*").alias("n")).collect()
+    return {r["lang"]: int(np.floor(r["low"] + THRESHOLD * SCALE / r["n"])) for r in found}
+
+
+def _trusted(labels: DataFrame) -> DataFrame:
+    return labels.where(F.col("quality") == 1).select(F.col("doc_id").cast("bigint")).distinct()
+
+
 def repeat_words(words: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
     """Words of each row that lie in a window found twice or more in the row."""
     keys, first = window_hashes(words, rows, REPEAT_WINDOW)
@@ -143,8 +207,10 @@ def dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def measure(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> dict[str, np.ndarray]:
-    """Counts and n-gram score of some rows."""
+def measure(
+    data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray, least: np.ndarray | int = round(THRESHOLD * SCALE)
+) -> dict[str, np.ndarray]:
+    """Counts and n-gram score of some rows; ``least`` is what a row must score in 1/SCALE."""
     n_rows = len(offsets) - 1
     starts, ends, rows = spans(data, offsets)
     letters = ~SPACE[data] & ((data & 0xC0) != 0x80)
@@ -160,7 +226,7 @@ def measure(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> dict[s
     words = np.bincount(rows, minlength=n_rows)
     repeated = repeat_words(word_hashes(data, starts, ends), rows, n_rows)
     failed = (words < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * words)
-    good = total >= int(round(THRESHOLD * SCALE)) * grams
+    good = total >= least * grams
     return {
         "n_words": words,
         "word_chars": row_sums(letters, offsets),
@@ -174,26 +240,39 @@ def measure(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> dict[s
 
 
 def score_documents(
-    docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    shared = prepared(docs.sparkSession).sparkContext.broadcast(ratios)  # 1 << BIN_BITS numbers
+    docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+    lang_col: str | None = None, least: dict[str | None, int] | None = None,
+) -> DataFrame:
+    # 1 << BIN_BITS numbers, and one for each language.
+    shared = prepared(docs.sparkSession).sparkContext.broadcast((ratios, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, by_lang = shared.value
         for batch in batches:
             data, offsets = flat_bytes(batch.column(1))
+            if by_lang is None:
+                bound = np.full(batch.num_rows, round(THRESHOLD * SCALE))
+            else:
+                # No score is as low as the bound of a language without trusted documents.
+                bound = np.array([by_lang.get(x, -100 * SCALE) for x in batch.column(2).to_pylist()], np.int64)
             for a, b in slices(offsets, SLICE):
                 part = data[offsets[a] : offsets[b]]
-                got = measure(part, offsets[a : b + 1] - offsets[a], table)
+                got = measure(part, offsets[a : b + 1] - offsets[a], table, bound[a:b])
                 columns = [batch.column(0).slice(a, b - a), *map(pa.array, got.values())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *got])
 
-    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string").cast("binary"))
+    lang = F.lit(None) if lang_col is None else F.col(lang_col)
+    rows = docs.select(
+        F.col(id_col).cast("bigint"), F.col(text_col).cast("string").cast("binary"), lang.cast("string")
+    )
     return rows.mapInArrow(run, RESULT)
 
 
 def apply_rules(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    lang_col: str | None = None,
+) -> DataFrame:
     prepared(docs.sparkSession)
-    return score_documents(docs, log_ratios(count_bins(docs, labels, id_col, text_col)), id_col, text_col)
+    target, corpus = multinomials(count_bins(docs, labels, id_col, text_col))
+    least = lang_col and thresholds(docs, labels, target, corpus, id_col, text_col, lang_col)
+    return score_documents(docs, log_ratios(target, corpus), id_col, text_col, lang_col, least)

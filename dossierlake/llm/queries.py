@@ -24,7 +24,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules.apply_rules(docs, labels, lang_col="lang")
 
 
 def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,6 +78,33 @@ def test_log_ratio_equals_plain_version(spark):
         assert got[i]["kept"] == kept
 
 
+def test_verdicts_do_not_depend_on_the_share_of_a_language(spark):
+    """Clean texts of a language with little trusted text are kept, junk is not, at any size."""
+    for n in (40, 240):
+        rows, marks = [], []
+        for i in range(n):
+            few = i % 4 == 0
+            text = prose(i, 100).replace("w", "zu") if few else prose(i, 100, 300)
+            if i % 10 == 9:
+                text = text.upper().replace(" ", "!? ")
+            rows.append((i, text, "de" if few else "en"))
+            if i % 10 != 9 and (i % 8 == 0 or not few):
+                marks.append((i, 1, 0))
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+        got = {r["doc_id"]: r["kept"] for r in quality_rules.apply_rules(docs, labels(spark, marks), lang_col="lang").collect()}
+        assert not any(got[i] for i in range(9, n, 10))
+        assert all(got[i] for i, _, _ in marks)
+        clean = [got[i] for i in range(4, n, 8) if i % 10 != 9]
+        assert sum(clean) >= 0.8 * len(clean)
+
+
+def test_language_without_trusted_documents_is_left_to_the_base_rule(spark):
+    rows = [(i, prose(i, 60), "en" if i < 8 else None) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = quality_rules.apply_rules(docs, labels(spark, [(i, 1, 0) for i in range(8)]), lang_col="lang").collect()
+    assert all(r["kept"] for r in found if r["doc_id"] >= 8)
+
+
 def test_slices_change_nothing():
     raw = [(t or "").encode() for _, t in CASES]
     ratios = np.arange(1 << quality_rules.BIN_BITS, dtype=np.int32) % 977 - 400
