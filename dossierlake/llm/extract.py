@@ -3,7 +3,8 @@
 A page is read as words and tags. Words score positive, tags negative, and an element whose name or
 class is one of menus, adverts and the like is closed off: its words are no part of the text and it
 scores nothing. One scan finds the contiguous stretch with the highest sum; the blocks in it are
-the main text. All weights are counted on labelled pages: a tag costs more the more often it stands
+the main text, and so are the other blocks of the article, content or main element that the stretch
+begins or ends in: what is not closed off there is never cut. All weights are counted on labelled pages: a tag costs more the more often it stands
 outside the main text, and an element is closed off if its name or a word of its class, id or role
 is found outside only.
 
@@ -41,6 +42,8 @@ INLINE = set(
 # Elements that are never closed off by their class, and those that open a text inside one.
 ROOTS = {"html", "body"}
 TEXTS = {"article", "main"}
+# Words that make the name of an element around a text when one of each stands side by side.
+WHAT, PART = set("article entry post story main".split()), set("content body text".split())
 
 _SCAN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -69,6 +72,24 @@ def marks(attrs: str) -> list[str]:
     return [part.lower() for value in values for part in _PART.findall(value)]
 
 
+def _texts_around(name: str, attrs: str, around: tuple[int, int, int], number: int) -> tuple[int, int, int]:
+    """Numbers of the outermost article and content element and of the innermost main, or -1."""
+    article, content, main = around
+    if name == "article":
+        return (number if article < 0 else article), content, main
+    if name == "main":
+        return article, content, number
+    if content < 0 and name not in ROOTS and "=" in attrs:
+        words = marks(attrs)
+        if any(a in WHAT and b in PART for a, b in zip(words, words[1:])):
+            return article, number, main
+    return around
+
+
+def _owner(around: tuple[int, int, int]) -> int:
+    return next((n for n in around if n >= 0), -1)
+
+
 def fit(pages: Iterable[list[tuple[str, int]]]) -> Weights:
     """Weights from labelled pages."""
     tags, signs, words = (Counter(), Counter()), (Counter(), Counter()), [0, 0]
@@ -101,7 +122,10 @@ def _kind(name: str, inside: bool) -> str:
 def main_blocks(page: str, w: Weights) -> list[str]:
     """Blocks of the best stretch, in page order."""
     blocks: list[list[str]] = [[]]
-    stack: list[tuple[str, bool]] = []  # open elements, and whether they close off
+    owners = [-1]  # number of the element around a text that a block stands in
+    # Open elements, whether they close off, and the texts around what is in them.
+    stack: list[tuple[str, bool, tuple[int, int, int]]] = []
+    nowhere = (-1, -1, -1)
     shut = 0  # index + 1 in the stack of the element that closes off now
     texts = 0
     total = best = 0.0
@@ -115,6 +139,7 @@ def main_blocks(page: str, w: Weights) -> list[str]:
         blocks[-1].append(raw)
         n = len(raw.split())
         if n:
+            owners[len(blocks) - 1 :] = [_owner(stack[-1][2] if stack else nowhere)]
             if total <= 0:
                 total, begin = 0.0, len(blocks) - 1
             total += w.word * n
@@ -133,6 +158,7 @@ def main_blocks(page: str, w: Weights) -> list[str]:
                 blocks[-1].append(" ")
         elif name not in INLINE and not shut and blocks[-1]:
             blocks.append([])
+            owners.append(-1)
         if m["close"]:
             ended = False  # a closed-off element's own end
             for i in range(len(stack) - 1, -1, -1):
@@ -158,14 +184,22 @@ def main_blocks(page: str, w: Weights) -> list[str]:
             stack.pop()
             if shut > len(stack):
                 shut = 0
-        stack.append((name, by_class and not by_name))
+        around = _texts_around(name, m["attrs"], stack[-1][2] if stack else nowhere, m.start())
+        stack.append((name, by_class and not by_name, around))
         texts += name in TEXTS
         if not shut and (by_class or by_name):
             shut, cost = len(stack), 0.0
             if blocks[-1] and name not in INLINE:
                 blocks.append([])
+                owners.append(-1)
         total -= cost
     words(page[at:])
+    if best:
+        first, last = owners[found[0]], owners[found[1]]
+        if first >= 0:
+            found = owners.index(first), found[1]
+        if last >= 0:
+            found = found[0], len(owners) - 1 - owners[::-1].index(last)
     joined = (" ".join(entities.unescape("".join(b)).split()) for b in blocks[found[0] : found[1] + 1])
     return [block for block in joined if block]
 

@@ -25,6 +25,20 @@ def test_adverts_inside_the_text_are_left_out():
     assert extract.main_text(wrapped) == TEXT
 
 
+def test_no_part_of_an_article_is_cut():
+    para = "<p>" + " ".join(f"w{i}" for i in range(20)) + "</p>"
+    short = "<p>Two words</p>"
+    items = "<ul><li>Flour</li><li>Two eggs</li></ul>"
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>Name{i}</a></li>" for i in range(40)) + "</ul>"
+    cells = "<table>" + "<tr><td>1</td><td>2</td></tr>" * 20 + "</table>"
+    outside = "<div><ul><li><a>Other</a></li></ul></div>"
+    for around in ("<article>{}</article>", "<main>{}</main>", "<div class='post-content'>{}</div>"):
+        for part in (items, links, cells):
+            for inner in (part + para, para + part, para + part + short, short + part + para):
+                page = outside + around.format(inner) + outside
+                assert extract.main_text(page).split() == extract._SCAN.sub(" ", inner).split()
+
+
 def test_odd_markup():
     assert extract.main_text(None) == "" == extract.main_text("") == extract.main_text("<p></p><!-- a -->")
     assert extract.main_text("just words here") == "just words here"
