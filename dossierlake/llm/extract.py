@@ -6,7 +6,10 @@ scores nothing. One scan finds the contiguous stretch with the highest sum; the
 the main text, and so are the other blocks of the article, content or main element that the stretch
 begins or ends in: what is not closed off there is never cut. All weights are counted on labelled pages: a tag costs more the more often it stands
 outside the main text, and an element is closed off if its name or a word of its class, id or role
-is found outside only.
+is found outside only. A longer class name that was not seen itself, as elementor-widget-text, is weak:
+its element is opened again if it holds more words than the text found without it. If there is no text
+at all, the elements that whole class names close off are opened as well. In a text, a name that says
+header closes nothing off.
 
 Null or empty html, and a page without words: empty text. Character references are decoded, white
 space inside a block becomes one space, blocks are joined in page order by one line end; nothing is
@@ -62,14 +65,33 @@ class Weights:
     tags: dict[str, float]
     other_tag: float
     closed: frozenset[str]
+    names: frozenset[str]  # whole names of class, id and role, seen outside only
 
 
 def marks(attrs: str) -> list[str]:
     """Lower-case words of class, id and role."""
     if "=" not in attrs:
         return []
-    values = (a or b or c for a, b, c in _NAMED.findall(attrs))
-    return [part.lower() for value in values for part in _PART.findall(value)]
+    return [part.lower() for name in _names(attrs) for part in _PART.findall(name)]
+
+
+def _names(attrs: str) -> list[str]:
+    """Whole names of class, id and role."""
+    if "=" not in attrs:
+        return []
+    return [name for a, b, c in _NAMED.findall(attrs) for name in (a or b or c).split()]
+
+
+def _telling(attrs: str, w: Weights, inside: bool) -> int:
+    """2 if a whole name closes off, 1 if a word of a longer name does, else 0."""
+    found = 0
+    for name in _names(attrs):
+        words = [part.lower() for part in _PART.findall(name)]
+        if inside and "header" in words:
+            continue
+        if any(f".{word}" in w.closed for word in words):
+            found = max(found, 2 if len(words) == 1 or name.lower() in w.names else 1)
+    return found
 
 
 def _texts_around(name: str, attrs: str, around: tuple[int, int, int], number: int) -> tuple[int, int, int]:
@@ -93,6 +115,7 @@ def _owner(around: tuple[int, int, int]) -> int:
 def fit(pages: Iterable[list[tuple[str, int]]]) -> Weights:
     """Weights from labelled pages."""
     tags, signs, words = (Counter(), Counter()), (Counter(), Counter()), [0, 0]
+    names: tuple[set[str], set[str]] = (set(), set())
     for page in pages:
         depth = 0  # of article and main
         for markup, label in page:
@@ -103,6 +126,7 @@ def fit(pages: Iterable[list[tuple[str, int]]]) -> Weights:
                     continue
                 depth += name in TEXTS
                 tags[label][name] += 1
+                names[label].update(x.lower() for x in _names(m["attrs"] or ""))
                 signs[label].update({_kind(name, depth > 0)} | {f".{s}" for s in marks(m["attrs"] or "")})
             words[label] += len(_SCAN.sub(" ", markup).split())
     odds = {
@@ -111,7 +135,7 @@ def fit(pages: Iterable[list[tuple[str, int]]]) -> Weights:
     }
     cost = {name: max(0.5, x + 1.0) for name, x in odds.items()}
     closed = {s for s, n in signs[0].items() if not signs[1][s] and (n >= 2 or s[0] != ".")}
-    return Weights(1.0, cost, 1.0, frozenset(closed))
+    return Weights(1.0, cost, 1.0, frozenset(closed), frozenset(names[0] - names[1]))
 
 
 def _kind(name: str, inside: bool) -> str:
@@ -121,6 +145,25 @@ def _kind(name: str, inside: bool) -> str:
 
 def main_blocks(page: str, w: Weights) -> list[str]:
     """Blocks of the best stretch, in page order."""
+    opened: set[int] = set()
+    while True:
+        blocks, hidden = _scan(page, w, opened)
+        n = sum(len(block.split()) for block in blocks)
+        again = {at for at, (strength, words) in hidden.items() if strength == 1 and words > n}
+        if not again and not n:
+            again = {at for at, (_, words) in hidden.items() if words}
+        if not again:
+            return blocks
+        opened |= again
+
+
+def _scan(page: str, w: Weights, opened: set[int]) -> tuple[list[str], dict[int, list[int]]]:
+    """Blocks of the best stretch; strength and words of the elements closed off by class, by place.
+
+    Those that begin at a place in ``opened`` are not closed off.
+    """
+    hidden: dict[int, list[int]] = {}
+    telling: list[int] | None = None  # the entry of the element that closes off now
     blocks: list[list[str]] = [[]]
     owners = [-1]  # number of the element around a text that a block stands in
     # Open elements, whether they close off, and the texts around what is in them.
@@ -134,6 +177,8 @@ def main_blocks(page: str, w: Weights) -> list[str]:
 
     def words(raw: str) -> None:
         nonlocal total, best, begin, found
+        if shut and telling:
+            telling[1] += len(raw.split())
         if shut or not raw:
             return
         blocks[-1].append(raw)
@@ -177,18 +222,22 @@ def main_blocks(page: str, w: Weights) -> list[str]:
         if name in VOID or m["attrs"].endswith("/"):
             total -= cost
             continue
-        by_class = any(f".{s}" in w.closed for s in marks(m["attrs"]))
-        by_class = by_class and name not in ROOTS and name not in TEXTS
+        around = stack[-1][2] if stack else nowhere
+        strength = 0
+        if not shut and name not in ROOTS and name not in TEXTS and m.start() not in opened:
+            strength = _telling(m["attrs"], w, _owner(around) >= 0)
+        by_class = strength > 0
         by_name = _kind(name, texts > 0) in w.closed and name not in ROOTS
         if name == "p" and stack and stack[-1][0] == "p":
             stack.pop()
             if shut > len(stack):
                 shut = 0
-        around = _texts_around(name, m["attrs"], stack[-1][2] if stack else nowhere, m.start())
+        around = _texts_around(name, m["attrs"], around, m.start())
         stack.append((name, by_class and not by_name, around))
         texts += name in TEXTS
         if not shut and (by_class or by_name):
             shut, cost = len(stack), 0.0
+            telling = None if by_name else hidden.setdefault(m.start(), [strength, 0])
             if blocks[-1] and name not in INLINE:
                 blocks.append([])
                 owners.append(-1)
@@ -201,7 +250,7 @@ def main_blocks(page: str, w: Weights) -> list[str]:
         if last >= 0:
             found = found[0], len(owners) - 1 - owners[::-1].index(last)
     joined = (" ".join(entities.unescape("".join(b)).split()) for b in blocks[found[0] : found[1] + 1])
-    return [block for block in joined if block]
+    return [block for block in joined if block], hidden
 
 
 _weights: Weights | None = None

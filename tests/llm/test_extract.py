@@ -39,6 +39,19 @@ def test_no_part_of_an_article_is_cut():
                 assert extract.main_text(page).split() == extract._SCAN.sub(" ", inner).split()
 
 
+def test_class_names_do_not_hide_a_whole_text():
+    para = "<p>" + " ".join(f"w{i}" for i in range(20)) + "</p>"
+    body = extract.main_text(para)
+    assert extract.main_text(f"<div class='content-with-sidebar'>{para}</div>") == body
+    assert extract.main_text(f"<article><h1>T</h1><div class='elementor-widget-text'>{para}</div></article>") == f"T\n{body}"
+    assert extract.main_text(f"<article><div class='entry-header'><h1>T</h1></div>{para}</article>") == f"T\n{body}"
+    assert extract.main_text(f"<div class='widget'>{para}</div>") == body
+    nested = f"<div class='page-with-menu'><div class='related-widget-x'>{para}</div></div>"
+    assert extract.main_text(nested) == body
+    # What is smaller than the text stays closed off, and so do whole names that tell.
+    assert extract.main_text(f"{para}<div class='my-ad-box'>Buy now</div><div class='comments'>{para * 3}</div>") == body
+
+
 def test_odd_markup():
     assert extract.main_text(None) == "" == extract.main_text("") == extract.main_text("<p></p><!-- a -->")
     assert extract.main_text("just words here") == "just words here"
