@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # What one Arrow batch of a Python stage holds at most; a longer row is a batch of its own.
 BATCH_ROWS = 2000
@@ -41,6 +42,24 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+# Keys with this share of all rows are busy; there are at most as many as its inverse.
+BUSY = 256
+
+
+def join_busy(rows: DataFrame, table: DataFrame, key: str, weight: str = "pages") -> DataFrame:
+    """Adds a table's columns, but for the weight, by a key that each row has there.
+
+    ``table`` has one row per key; ``weight`` says how much the key holds. Keys with at least one
+    ``BUSY``-th of all, at most ``BUSY`` rows, are broadcast, so their rows stay where they are.
+    """
+    busy = F.col(weight) >= table.agg((F.sum(weight) / BUSY).alias("share")).scalar()
+    large = table.where(busy).drop(weight)
+    small = table.where(~busy).drop(weight)
+    kept = rows.join(F.broadcast(large), key)
+    others = rows.join(F.broadcast(large.select(key)), key, "left_anti").join(small.hint("merge"), key)
+    return kept.unionByName(others)
+
+
 def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a binary column in one array, and the offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):

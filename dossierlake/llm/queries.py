@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dossierlake.llm import (
     bpe,
     extract,
+    host_reputation,
     idfiles,
     near_dup,
     neighbours,
@@ -61,6 +62,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+# Rules as (host, path).
+RULES = (
+    host_reputation.Rule("allow", "org", "/"),
+    host_reputation.Rule("block", "example.org", "/es/"),
+    host_reputation.Rule("block", "example.org", "/en/1"),
+    host_reputation.Rule("allow", "com", "/fr/"),
+    host_reputation.Rule("block", "com", "/de/"),
+)
+
+
+def op11_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = host_reputation.page_outcomes(table(spark, sf_dir, "labels"))
+    return host_reputation.judge(table(spark, sf_dir, "pages"), outcomes, RULES)
+
+
 OP1_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
@@ -103,4 +119,5 @@ CATALOG = {
     "op8_near_duplicates": (op8_near_duplicates, None),
     "op9_neighbours": (op9_neighbours, OP9_SQL),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_host_reputation": (op11_host_reputation, host_reputation.sql(RULES)),
 }
