@@ -16,6 +16,7 @@ from dossierlake.llm import (
     quality_rules,
     toxicity,
     warc,
+    whitening,
 )
 from dossierlake.llm.frames import table
 
@@ -77,6 +78,10 @@ def op11_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(table(spark, sf_dir, "pages"), outcomes, RULES)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 OP1_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
@@ -120,4 +125,5 @@ CATALOG = {
     "op9_neighbours": (op9_neighbours, OP9_SQL),
     "op10_toxicity": (op10_toxicity, None),
     "op11_host_reputation": (op11_host_reputation, host_reputation.sql(RULES)),
+    "op13_whitening": (op13_whitening, None),
 }
