@@ -46,17 +46,18 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
 BUSY = 256
 
 
-def join_busy(rows: DataFrame, table: DataFrame, key: str, weight: str = "pages") -> DataFrame:
+def join_busy(rows: DataFrame, table: DataFrame, key: str | list[str], weight: str = "pages") -> DataFrame:
     """Adds a table's columns, but for the weight, by a key that each row has there.
 
     ``table`` has one row per key; ``weight`` says how much the key holds. Keys with at least one
     ``BUSY``-th of all, at most ``BUSY`` rows, are broadcast, so their rows stay where they are.
     """
+    keys = [key] if isinstance(key, str) else key
     busy = F.col(weight) >= table.agg((F.sum(weight) / BUSY).alias("share")).scalar()
     large = table.where(busy).drop(weight)
     small = table.where(~busy).drop(weight)
-    kept = rows.join(F.broadcast(large), key)
-    others = rows.join(F.broadcast(large.select(key)), key, "left_anti").join(small.hint("merge"), key)
+    kept = rows.join(F.broadcast(large), keys)
+    others = rows.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(small.hint("merge"), keys)
     return kept.unionByName(others)
 
 
