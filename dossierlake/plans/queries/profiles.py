@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from dossierlake.dictionary import MULTI
 from dossierlake.functions.keys import entity_key
 from dossierlake.operators import accumulate, assemble, documents, fold, lookup, merge
+from dossierlake.plans.colocated import BucketedProfiles
 from dossierlake.plans.profiles import attribute_rows, day_tables
 from dossierlake.plans.queries import oracle as q
-from dossierlake.plans.queries.common import SPLITS, attr_sides, flat, sides
+from dossierlake.plans.queries.common import BUCKETS, SPLITS, attr_sides, flat, sides
 from dossierlake.schema import ENTITY, ROW_KEY
-from dossierlake.session import materialize
+from dossierlake.session import materialize, work_dir
 from dossierlake.sources import adapters
 from dossierlake.sources.adapters import DICTIONARY, load_events, load_lines, table
 
@@ -164,6 +165,14 @@ def cogroup_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(merged.join(status, ROW_KEY))
 
 
+def bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on bucketed tables, where the stored side does not move."""
+    old, new = attr_sides(spark, sf_dir, "o")
+    store = BucketedProfiles(spark, work_dir(spark, "bucketed"), BUCKETS, PAGES).build(fold.base_profile(old))
+    merged = store.merge(fold.base_profile(new), work_dir(spark, "bucketed"))
+    return flat(merged.read("base").drop("page"))
+
+
 def stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = adapters.split_stored(load_lines(spark, sf_dir), SPLITS["o"])
     return merge.stored_lookup(new, fold.base_counters(attribute_rows(old, DICTIONARY)))
@@ -477,6 +486,11 @@ QUERIES = {
         f"{_O}, {q.sides('o')}, {q.base('o_attr', 'b')}, {q.status('o_old', 'o_new', 's')} "
         f"SELECT {_BASE}, status FROM b JOIN s USING ({q.KEY})",
     ),
+    "joi1_bucketed_merge": (
+        bucketed_merge,
+        f"{_O}, {q.sides('o')}, {q.base('o_attr', 'b')}, {q.status('o_old', 'o_new', 's')} "
+        f"SELECT {_BASE}, status FROM b JOIN s USING ({q.KEY})",
+    ),
     "joi2_stored_lookup": (
         stored_lookup,
         f"{_O}, {q.sides('o')}, held AS (SELECT {q.KEY}, count(DISTINCT (code, value)) AS "
