@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 from dossierlake.functions.keys import entity_key
 from dossierlake.functions.times import time_text
 from dossierlake.operators.fold import days_text
-from dossierlake.operators.parts import gather
+from dossierlake.operators.parts import PAGE_ITEMS, gather
 from dossierlake.schema import ENTITY, ROW_KEY
 
 
-def nest_base(profile_base: DataFrame, pages: int = 1) -> DataFrame:
+def nest_base(
+    profile_base: DataFrame, pages: int | None = None, length: int = PAGE_ITEMS
+) -> DataFrame:
     """Whole base profile: one row per row key and page with all its attributes."""
     item = F.struct(
         "code", "value", "cnt", "first_time", "last_time", "day_cnt",
         F.array_sort(F.map_entries("days")).alias("days"),
     )
-    return gather(profile_base, ROW_KEY, item, "props", ["code", "value"], pages)
+    return gather(profile_base, ROW_KEY, item, "props", ["code", "value"], pages, length)
 
 
 def show_base(profile_base: DataFrame) -> DataFrame:

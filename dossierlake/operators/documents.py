@@ -9,7 +9,7 @@ from dossierlake.dictionary import MULTI, AttrDictionary
 from dossierlake.functions.keys import base_document_id, info_document_id
 from dossierlake.operators.attributes import with_fold_kind
 from dossierlake.operators.merge import keep_keys, new_values, union_inputs
-from dossierlake.operators.parts import gather, page_of
+from dossierlake.operators.parts import PAGE_ITEMS, gather, with_page
 from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
 
 # Document field names.
@@ -31,14 +31,16 @@ def base_documents(
     as_of: Column,
     rows: DataFrame | None = None,
     compat_ids: bool = False,
-    pages: int = 1,
+    pages: int | None = None,
+    length: int = PAGE_ITEMS,
 ) -> DataFrame:
     """One document per row key: ``props`` is a list of ``{code: value}``.
 
     ``rows`` limits the output to some row keys. With ``compat_ids`` the id ignores
     protocol and action, and of the rows that share it the last one (by time, then by
-    its own protocol and action) is the document. With several ``pages`` a row key has a
-    document for each, and the page ends its id.
+    its own protocol and action) is the document. A row key with more than ``length`` values
+    has a document for each page of them; the page ends the id from the second on. With a
+    stated number of ``pages`` a value's page follows from its digest and ends every id.
     """
     if rows is not None:
         attr_day = keep_keys(attr_day, rows, ROW_KEY, next_key=ATTR_KEY)
@@ -47,7 +49,7 @@ def base_documents(
     values = attr_day.select(*ROW_KEY, "code", "value").distinct()
     # Maps as items cannot be sorted, so the pairs are sorted first.
     docs = gather(
-        values, ROW_KEY, F.struct("code", "value"), "props", ["code", "value"], pages
+        values, ROW_KEY, F.struct("code", "value"), "props", ["code", "value"], pages, length
     )
     cols = {name: F.col(name) for name in ROW_KEY}
     return docs.select(
@@ -63,8 +65,11 @@ def base_documents(
     )
 
 
-def paged_id(document_id: Column, pages: int) -> Column:
-    return document_id if pages == 1 else F.concat(document_id, F.lit("-"), F.col("page"))
+def paged_id(document_id: Column, pages: int | None) -> Column:
+    if pages == 1:
+        return document_id
+    ended = F.concat(document_id, F.lit("-"), F.col("page"))
+    return ended if pages else F.when(F.col("page") == 0, document_id).otherwise(ended)
 
 
 def _last_row_per_source(attr_day: DataFrame) -> DataFrame:
@@ -108,19 +113,18 @@ def info_documents(
     profile_info_attr: DataFrame,
     as_of: Column,
     entities: DataFrame | None = None,
-    pages: int = 1,
+    pages: int | None = None,
+    length: int = PAGE_ITEMS,
 ) -> DataFrame:
     """One document per entity: ``single`` maps a code to its value, ``multi`` to values.
 
-    ``info_json`` turns it into the flat document. With several ``pages`` an entity has a
-    document for each, and the page ends its id.
+    ``info_json`` turns it into the flat document. Pages are those of ``base_documents``.
     """
     attrs = profile_info_attr
     if entities is not None:
         attrs = keep_keys(attrs, entities, ENTITY, next_key=[*ENTITY, "code", "value"])
-    paged = attrs.select(
-        *ENTITY, "code", "kind", "value", page_of(pages, "code", "value").alias("page")
-    )
+    values = attrs.select(*ENTITY, "code", "kind", "value")
+    paged = with_page(values, ENTITY, ["code", "value"], pages, length)
     # Per code first, so that the last step sees one row per code of the entity.
     codes = paged.groupBy(*ENTITY, "page", "code", "kind").agg(
         F.sort_array(F.collect_list("value")).alias("values")

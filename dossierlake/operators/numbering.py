@@ -28,18 +28,22 @@ def in_ranges(rows: DataFrame, order: Sequence[str], purpose: str = "ranges") ->
     return materialize(placed.drop(arrival).withColumn(SLOT, F.spark_partition_id()), purpose)
 
 
-def runs(placed: DataFrame, key: Sequence[str]) -> DataFrame:
+def runs(placed: DataFrame, key: Sequence[str], weight: str | None = None) -> DataFrame:
     """Per key and range: rows ``n``, and ``before``, those of the key in earlier ranges.
 
-    A key has one row for each range that it lies in.
+    A key has one row for each range that it lies in. With a ``weight`` both add it up instead.
     """
-    counted = placed.groupBy(*key, SLOT).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    counted = placed.groupBy(*key, SLOT).agg(total.alias("n"))
     earlier = Window.partitionBy(*key).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
     return counted.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
 
 
-def place(placed: DataFrame, of: DataFrame, key: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """Adds the position in the key, from 1, and the columns that ``of``, made by ``runs``, has beside n and before."""
+def place(placed: DataFrame, of: DataFrame, key: Sequence[str], order: Sequence[str], name: str, weight: str | None = None) -> DataFrame:
+    """Adds the position in the key, from 1, and the columns that ``of``, made by ``runs``, has beside n and before.
+
+    With a ``weight`` the position is 1 more than the weight of the rows before.
+    """
     match, names = None, [*key, SLOT]
     other = of.select(
         *[F.col(c).alias(f"{c}_of") for c in names], *[c for c in of.columns if c not in [*names, "n"]]
@@ -49,12 +53,21 @@ def place(placed: DataFrame, of: DataFrame, key: Sequence[str], order: Sequence[
         match = same if match is None else match & same
     joined = placed.join(other, match).drop(*[f"{c}_of" for c in names])
     inside = Window.partitionBy(*names).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return joined.withColumn(name, F.col("before") + F.row_number().over(inside)).drop("before", SLOT)
+    if weight:
+        earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+        at = F.coalesce(F.sum(weight).over(earlier), F.lit(0)) + 1
+    else:
+        at = F.row_number().over(inside)
+    return joined.withColumn(name, F.col("before") + at).drop("before", SLOT)
 
 
 def numbered(
-    rows: DataFrame, key: Sequence[str], order: Sequence[str], name: str = "position"
+    rows: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    name: str = "position",
+    weight: str | None = None,
 ) -> DataFrame:
     """Adds the position of each row among those of its key, from 1; ties count in any order."""
     placed = in_ranges(rows, [*key, *order])
-    return place(placed, runs(placed, key), key, order, name)
+    return place(placed, runs(placed, key, weight), key, order, name, weight)

@@ -1,4 +1,4 @@
-"""Gathering the rows of a key into arrays, in a stated number of pages."""
+"""Gathering the rows of a key into arrays, in pages of bounded length."""
 
 from __future__ import annotations
 
@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossierlake.functions.keys import join_key
+from dossierlake.operators.numbering import numbered
+
+# Items of a page, unless the caller states another length or a number of pages.
+PAGE_ITEMS = 1000
 
 
 def page_of(pages: int, *items: str) -> Column:
@@ -19,17 +23,38 @@ def page_of(pages: int, *items: str) -> Column:
     return (number % F.lit(pages)).cast("int")
 
 
+def with_page(
+    rows: DataFrame,
+    key: list[str],
+    identity: list[str],
+    pages: int | None = None,
+    length: int = PAGE_ITEMS,
+    weight: str | None = None,
+) -> DataFrame:
+    """Adds ``page``: by digest with a stated number of pages, else by exact rank, ``length`` items each.
+
+    Ranks come from ranges of the sorted items, so a busy key lies in many tasks and none of its pages
+    is longer than stated. An item with a ``weight`` counts as so many.
+    """
+    if pages is not None:
+        return rows.withColumn("page", page_of(pages, *identity))
+    placed = numbered(rows, key, identity, "rank_", weight)
+    return placed.withColumn("page", F.floor((F.col("rank_") - 1) / length).cast("int")).drop("rank_")
+
+
 def gather(
     rows: DataFrame,
     key: list[str],
     item: Column,
     name: str,
     identity: list[str],
-    pages: int = 1,
+    pages: int | None = None,
+    length: int = PAGE_ITEMS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Sorted array of ``item`` per key and page."""
     return (
-        rows.withColumn("page", page_of(pages, *identity))
+        with_page(rows, key, identity, pages, length, weight)
         .groupBy(*key, "page")
         .agg(F.sort_array(F.collect_list(item)).alias(name))
     )

@@ -32,6 +32,7 @@ from dossierlake.operators.fold import (
 )
 from dossierlake.operators.lookup import without_entities
 from dossierlake.operators.merge import classify, keep_keys
+from dossierlake.operators.parts import PAGE_ITEMS
 from dossierlake.plans.store import SnapshotStore
 from dossierlake.schema import ENTITY, ROW_KEY
 
@@ -265,13 +266,14 @@ def load(
     as_of: int | None = None,
     documents_path: str | None = None,
     by_batch: bool = False,
+    page_items: int = PAGE_ITEMS,
 ) -> int:
     """One-step load: fold, merge into the store and write the search documents.
 
     The new segment is written first and read back, so the observations are folded once.
     A batch that is already stored gets its documents again: its segment is compared with
     the version before it, whatever came later, and its folder is overwritten. Of the store
-    only the batch's entities are read.
+    only the batch's entities are read. A document has at most ``page_items`` values.
     """
     ingest(store, obs, dictionary, batch_id, by_batch=by_batch)
     version = store.version_of(batch_id)
@@ -285,11 +287,11 @@ def load(
         old = after.limit(0)
     moment = F.lit(as_of) if as_of is not None else F.unix_timestamp()
     rows = base_rows_to_index(old, arrived)
-    base_docs = base_documents(after, moment, rows)
+    base_docs = base_documents(after, moment, rows, length=page_items)
     write_documents(base_json(base_docs), f"{documents_path}/base", "overwrite")
     entities = info_entities_to_index(old, arrived, dictionary)
     info_docs = info_documents(
-        info_attributes(after, dictionary), moment, entities
+        info_attributes(after, dictionary), moment, entities, length=page_items
     )
     write_documents(info_json(info_docs), f"{documents_path}/info", "overwrite")
     return version

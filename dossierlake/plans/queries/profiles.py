@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dossierlake.dictionary import MULTI
 from dossierlake.functions.keys import entity_key
 from dossierlake.operators import accumulate, assemble, documents, fold, lookup, merge
+from dossierlake.operators.parts import PAGE_ITEMS
 from dossierlake.plans.colocated import BucketedProfiles
 from dossierlake.plans.profiles import attribute_rows, day_tables
 from dossierlake.plans.queries import oracle as q
@@ -21,6 +22,8 @@ from dossierlake.sources.adapters import DICTIONARY, load_events, load_lines, ta
 AS_OF = 1_700_000_000
 # Pages of the paged variants.
 PAGES = 3
+# Items of a page in the ranked variants.
+LENGTH = 4
 
 
 def base_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +87,9 @@ def merge_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_counters(old, new)
 
 
-def accumulators(spark: SparkSession, sf_dir: str, pages: int = 1) -> DataFrame:
+def accumulators(
+    spark: SparkSession, sf_dir: str, pages: int | None = None, length: int = PAGE_ITEMS
+) -> DataFrame:
     events = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k")
     pairs = [
@@ -99,7 +104,7 @@ def accumulators(spark: SparkSession, sf_dir: str, pages: int = 1) -> DataFrame:
         ).alias("p")
     ).select("p.*")
     cents = F.round(F.col("value").try_cast("double") * 100).cast("bigint").cast("string")
-    return accumulate.accumulate(fields, pages).select(
+    return accumulate.accumulate(fields, pages, length).select(
         "field",
         F.col("page").cast("bigint").alias("page"),
         F.when(F.col("field").startswith("f:"), cents).otherwise(F.col("value")).alias("value"),
@@ -130,10 +135,12 @@ def grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nested(spark: SparkSession, sf_dir: str, pages: int = 1) -> DataFrame:
+def nested(
+    spark: SparkSession, sf_dir: str, pages: int | None = None, length: int = PAGE_ITEMS
+) -> DataFrame:
     rows = attribute_rows(load_lines(spark, sf_dir), DICTIONARY)
     base = materialize(fold.base_profile(fold.fold_attr_day(rows)), "base")
-    nest = assemble.nest_base(base, pages)
+    nest = assemble.nest_base(base, pages, length)
     text = F.transform(
         "props",
         lambda p: F.concat_ws(
@@ -229,7 +236,9 @@ def attribute_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.unionByName(either)
 
 
-def _base_docs(spark: SparkSession, sf_dir: str, compat: bool, pages: int = 1) -> DataFrame:
+def _base_docs(
+    spark: SparkSession, sf_dir: str, compat: bool, pages: int | None = None, length: int = PAGE_ITEMS
+) -> DataFrame:
     tables = attr_sides(spark, sf_dir, "o")
     docs = documents.base_documents(
         tables[0].unionByName(tables[1]),
@@ -237,6 +246,7 @@ def _base_docs(spark: SparkSession, sf_dir: str, compat: bool, pages: int = 1) -
         documents.base_rows_to_index(*tables),
         compat_ids=compat,
         pages=pages,
+        length=length,
     )
     text = F.transform(
         "props", lambda p: F.concat(F.map_keys(p)[0], F.lit("="), F.map_values(p)[0])
@@ -252,11 +262,13 @@ def base_documents_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _base_docs(spark, sf_dir, compat=True)
 
 
-def _info_docs(spark: SparkSession, sf_dir: str, compat: bool, pages: int = 1) -> DataFrame:
+def _info_docs(
+    spark: SparkSession, sf_dir: str, compat: bool, pages: int | None = None, length: int = PAGE_ITEMS
+) -> DataFrame:
     tables = attr_sides(spark, sf_dir, "o")
     entities = documents.info_entities_to_index(*tables, DICTIONARY, compat_trigger=compat)
     info = fold.info_attributes(tables[0].unionByName(tables[1]), DICTIONARY)
-    docs = documents.info_documents(info, F.lit(AS_OF), entities, pages)
+    docs = documents.info_documents(info, F.lit(AS_OF), entities, pages, length)
     return docs.select(
         "id", F.col("page").cast("bigint").alias("page"),
         documents.FIELD_TIME, documents.FIELD_TYPE, documents.FIELD_OID,
@@ -290,6 +302,22 @@ def info_documents_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _info_docs(spark, sf_dir, compat=False, pages=PAGES)
 
 
+def accumulators_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accumulators(spark, sf_dir, length=LENGTH)
+
+
+def nested_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested(spark, sf_dir, length=LENGTH)
+
+
+def base_documents_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _base_docs(spark, sf_dir, compat=False, length=LENGTH)
+
+
+def info_documents_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _info_docs(spark, sf_dir, compat=False, length=LENGTH)
+
+
 _E = q.fixture("e")
 _O = q.fixture("o")
 _BASE = f"{q.KEY}, code, value, cnt, first_time, last_time, day_cnt, days"
@@ -317,13 +345,21 @@ def _throughput_sql() -> str:
     )
 
 
+def _rank_page(length: int, key: str, order: str) -> str:
+    rank = f"row_number() OVER (PARTITION BY {key} ORDER BY {order})"
+    return f"CAST(({rank} - 1) // {length} AS BIGINT)"
+
+
 def _page(pages: int, *items: str) -> str:
     digest = f"md5({f' || {q.SEP} || '.join(items)})"
     return f"{q.hex_number(f'substr({digest}, 1, 8)')} % {pages}"
 
 
-def _paged_id(sql: str, pages: int) -> str:
-    return sql if pages == 1 else f"{sql} || '-' || page"
+def _paged_id(sql: str, pages: int | None) -> str:
+    if pages == 1:
+        return sql
+    ended = f"{sql} || '-' || page"
+    return ended if pages else f"CASE WHEN page = 0 THEN {sql} ELSE {ended} END"
 
 
 def _counter_sql() -> str:
@@ -377,33 +413,43 @@ _PROPS = "string_agg(code || '=' || value, ';' ORDER BY code, value) AS props"
 _ROW_ID = f"entity_type || {q.SEP} || oid || {q.SEP} || data_source"
 
 
-def _base_doc_sql(pages: int) -> str:
+def _base_doc_sql(pages: int | None, length: int = PAGE_ITEMS) -> str:
+    page = _page(pages, "code", "value") if pages else _rank_page(length, q.KEY, "code, value")
     row_id = f"md5({_ROW_ID} || {q.SEP} || protocol || {q.SEP} || action)"
     return (
         f"{_O}, {q.sides('o')}, {_NEW_ROWS} SELECT {_paged_id(row_id, pages)} AS id, page, "
-        f"{_DOC_FIELDS}, {_PROPS} FROM (SELECT DISTINCT {q.KEY}, code, value, "
-        f"{_page(pages, 'code', 'value')} AS page FROM o_attr SEMI JOIN fresh USING ({q.KEY})) "
+        f"{_DOC_FIELDS}, {_PROPS} FROM (SELECT *, {page} AS page FROM (SELECT DISTINCT {q.KEY}, "
+        f"code, value FROM o_attr SEMI JOIN fresh USING ({q.KEY}))) "
         f"GROUP BY {q.KEY}, page"
     )
 
 
-def _accumulator_sql(pages: int) -> str:
+def _accumulator_sql(pages: int | None, length: int = PAGE_ITEMS) -> str:
+    # A text begins after all smaller ones; after every full page of its repeats it begins anew.
+    group = "PARTITION BY event_type, user_id"
+    place = (
+        f"count(*) OVER ({group} ORDER BY k) - count(*) OVER ({group}, k) + "
+        f"(row_number() OVER ({group}, k) - 1) // {length} * {length}"
+    )
+    page = _page(pages, "k") if pages else f"CAST(({place}) // {length} AS BIGINT)"
     return (
-        "WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events) "
+        "WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events), "
+        f"t AS (SELECT *, {page} AS p FROM e) "
         "SELECT 'l:' || event_type AS field, CAST(0 AS BIGINT) AS page, "
         "CAST(sum(CAST(k AS BIGINT)) AS VARCHAR) AS value FROM e GROUP BY event_type UNION ALL "
         "SELECT 'f:' || event_type, 0, CAST(CAST(round(sum(value) * 100) AS BIGINT) AS VARCHAR) "
         "FROM e GROUP BY event_type UNION ALL "
-        f"SELECT 's:' || event_type || ':' || user_id, {_page(pages, 'k')} AS p, "
-        "string_agg(k || ';', '' ORDER BY k) FROM e GROUP BY event_type, user_id, p"
+        "SELECT 's:' || event_type || ':' || user_id, p, "
+        "string_agg(k || ';', '' ORDER BY k) FROM t GROUP BY event_type, user_id, p"
     )
 
 
-def _nested_sql(pages: int) -> str:
+def _nested_sql(pages: int | None, length: int = PAGE_ITEMS) -> str:
+    page = _page(pages, "code", "value") if pages else _rank_page(length, q.KEY, "code, value")
     return (
-        f"{_O}, {q.base('o_attr', 'b')} SELECT {q.KEY}, {_page(pages, 'code', 'value')} AS page, "
+        f"{_O}, {q.base('o_attr', 'b')}, b_ AS (SELECT *, {page} AS page FROM b) SELECT {q.KEY}, page, "
         "count(*) AS n, string_agg(code || '|' || value || '|' || cnt || '|' || day_cnt, ';' "
-        f"ORDER BY code, value) AS props FROM b GROUP BY {q.KEY}, page"
+        f"ORDER BY code, value) AS props FROM b_ GROUP BY {q.KEY}, page"
     )
 
 
@@ -413,16 +459,18 @@ _INFO_CHANGED = (
 )
 
 
-def _info_doc_sql(changed: str, pages: int = 1) -> str:
+def _info_doc_sql(changed: str, pages: int | None = None, length: int = PAGE_ITEMS) -> str:
+    page = _page(pages, "code", "value") if pages else _rank_page(length, "entity_type, oid", "code, value")
     return (
         f"{_O}, {q.sides('o')}, {q.info_attr('o_attr', 'after')}, "
         f"{q.info_attr('o_old', 'before')}, changed AS ({changed}) "
-        f"SELECT {_paged_id(q.ENTITY_KEY, pages)} AS id, {_page(pages, 'code', 'value')} AS page, "
+        f"SELECT {_paged_id(q.ENTITY_KEY, pages)} AS id, page, "
         f"CAST({AS_OF} AS BIGINT) AS H010014, "
         "entity_type AS A010001, oid AS A010002, max(CASE WHEN code = 'S1' THEN value END) AS S1, "
         "max(CASE WHEN code = 'S2' THEN value END) AS S2, "
         "string_agg(CASE WHEN code = 'M1' THEN value END, ',' ORDER BY value) AS M1 "
-        "FROM after SEMI JOIN changed USING (entity_type, oid) GROUP BY entity_type, oid, page"
+        f"FROM (SELECT *, {page} AS page FROM after SEMI JOIN changed USING (entity_type, oid)) "
+        "GROUP BY entity_type, oid, page"
     )
 
 
@@ -459,7 +507,8 @@ QUERIES = {
         classify, f"{_O}, {q.sides('o')}, {q.status('o_old', 'o_new', 's')} SELECT * FROM s"
     ),
     "agg8_merge_counters": (merge_counters, _counter_sql()),
-    "agg9_accumulators": (accumulators, _accumulator_sql(1)),
+    "agg9_accumulators": (accumulators, _accumulator_sql(None)),
+    "agg9_accumulators_ranked": (accumulators_ranked, _accumulator_sql(None, LENGTH)),
     "agg9_accumulators_paged": (accumulators_paged, _accumulator_sql(PAGES)),
     "agg10_throughput": (throughput, _throughput_sql()),
     "agg11_object_grouping": (
@@ -467,7 +516,8 @@ QUERIES = {
         f"{q.with_(q.O_OBS)} SELECT {q.ENTITY_KEY} AS entity_key, count(*) AS records, "
         "min(seq) AS first_seq FROM o_obs GROUP BY 1",
     ),
-    "agg12_nested_profile": (nested, _nested_sql(1)),
+    "agg12_nested_profile": (nested, _nested_sql(None)),
+    "agg12_nested_profile_ranked": (nested_ranked, _nested_sql(None, LENGTH)),
     "agg12_nested_profile_paged": (nested_paged, _nested_sql(PAGES)),
     "win1_latest_by_window": (
         latest_by_window,
@@ -538,7 +588,8 @@ QUERIES = {
         "SELECT DISTINCT entity_type, oid, 'or' FROM o_attr WHERE (code = 'M1' AND value = 'q4') "
         "OR (code = 'S2' AND value = 'RF')",
     ),
-    "snk5_base_documents": (base_documents, _base_doc_sql(1)),
+    "snk5_base_documents": (base_documents, _base_doc_sql(None)),
+    "snk5_base_documents_ranked": (base_documents_ranked, _base_doc_sql(None, LENGTH)),
     "snk5_base_documents_paged": (base_documents_paged, _base_doc_sql(PAGES)),
     "snk5_base_documents_compat": (
         base_documents_compat,
@@ -550,6 +601,9 @@ QUERIES = {
         f"code, value FROM o_attr SEMI JOIN last USING ({q.KEY})) GROUP BY {q.KEY}",
     ),
     "snk6_info_documents": (info_documents, _info_doc_sql(_INFO_CHANGED)),
+    "snk6_info_documents_ranked": (
+        info_documents_ranked, _info_doc_sql(_INFO_CHANGED, length=LENGTH)
+    ),
     "snk6_info_documents_paged": (info_documents_paged, _info_doc_sql(_INFO_CHANGED, PAGES)),
     "snk6_info_documents_compat": (
         info_documents_compat,
