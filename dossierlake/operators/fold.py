@@ -76,15 +76,34 @@ def arrival_time(rank: Column) -> Column:
     return F.pmod(rank, _power(TIME_ROOM)).cast("bigint") - F.lit(TIME_BIAS)
 
 
-def fold_attr_day(attrs: DataFrame) -> DataFrame:
-    ranked = attrs.select(
+def attr_day_rows(attrs: DataFrame) -> DataFrame:
+    """Rows of ``attr_day`` that each attribute row contributes; merging them is the fold."""
+    return _ranked(attrs).select(
+        *ATTR_DAY_KEY, F.lit(1).cast("bigint").alias("n"), F.col("capture_time").alias("first_time"),
+        F.col("capture_time").alias("last_time"), "latest", "arrival",
+    )
+
+
+def entity_day_rows(obs: DataFrame) -> DataFrame:
+    """Rows of ``entity_day`` that each observation contributes."""
+    return obs.select(
+        *ENTITY, day_number(F.col("capture_time")).alias("day"), F.lit(1).cast("bigint").alias("n"),
+        F.col("capture_time").alias("first_time"), F.col("capture_time").alias("last_time"),
+    )
+
+
+def _ranked(attrs: DataFrame) -> DataFrame:
+    return attrs.select(
         *ATTR_KEY,
         day_number(F.col("capture_time")).alias("day"),
         "capture_time",
         latest_rank().alias("latest"),
         arrival_rank().alias("arrival"),
     )
-    return ranked.groupBy(*ATTR_DAY_KEY).agg(
+
+
+def fold_attr_day(attrs: DataFrame) -> DataFrame:
+    return _ranked(attrs).groupBy(*ATTR_DAY_KEY).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("capture_time").alias("first_time"),
         F.max("capture_time").alias("last_time"),

@@ -22,8 +22,8 @@ from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
 from dossierlake.session import work_dir
 from dossierlake.sources import adapters, generator, paths, streams, tagged_tsv
 from dossierlake.sources.adapters import DICTIONARY, load_events, load_lines, table
+from dossierlake.streaming import keyed, sinks
 from dossierlake.streaming import merge as stream_merge
-from dossierlake.streaming import sinks
 
 TSV_COLUMNS = {
     "A010001": "entity_type", "A010002": "oid", "H010014": "time", "B050016": "data_source",
@@ -559,6 +559,37 @@ def stream_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.stored_profiles(store, DICTIONARY).info_attr
 
 
+def _keyed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Stored rows seed the state; the stream stops after its first half and starts again."""
+    old, new = adapters.split_stored(load_events(spark, sf_dir), SPLITS["e"])
+    stored = plan.day_tables(old, DICTIONARY)[table]
+    seed, path = work_dir(spark, "keyed-seed"), work_dir(spark, "keyed-in")
+    changes, checkpoint = work_dir(spark, "keyed-out"), work_dir(spark, "keyed-cp")
+    stored.write.parquet(seed)
+    for half in range(2):
+        new.where(F.col("seq") % 2 == half).write.mode("append").parquet(path)
+        stream = streams.file_stream(spark, path, new.schema)
+        _finish(
+            keyed.start_keyed(
+                stream, DICTIONARY, table, changes, checkpoint,
+                seed=streams.file_stream(spark, seed, stored.schema),
+            )
+        )
+    return keyed.current_rows(spark, changes, table)
+
+
+def keyed_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(fold.base_profile(_keyed(spark, sf_dir, "attr_day")))
+
+
+def keyed_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(fold.info_profile(_keyed(spark, sf_dir, "entity_day")))
+
+
+def keyed_info_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fold.info_attributes(_keyed(spark, sf_dir, "attr_day"), DICTIONARY)
+
+
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every value once, in the feed of the batch that saw it first."""
     obs, path = _event_files(spark, sf_dir, "feed", files=2)
@@ -854,6 +885,16 @@ QUERIES = {
         stream_info,
         f"{_E}, {q.info_attr('e_attr', 'i')} SELECT * FROM i",
     ),
+    "str1_keyed_base": (keyed_base, _E_BASE),
+    "str2_keyed_info": (
+        keyed_info,
+        f"{q.with_(q.E_OBS, q.info('e_obs', 'i'))} SELECT entity_type, oid, cnt, first_time, "
+        "last_time, day_cnt, days FROM i",
+    ),
+    "str2_keyed_info_attributes": (
+        keyed_info_attributes,
+        f"{_E}, {q.info_attr('e_attr', 'i')} SELECT * FROM i",
+    ),
     "str3_change_feed": (change_feed, _E_ATTRS),
     "str3_first_seen": (first_seen, _E_ATTRS),
     "str4_replay": (

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from dossierlake.dictionary import AttrDictionary
-from dossierlake.operators.fold import fold_attr_day, fold_entity_day
 from dossierlake.operators.merge import new_values
 from dossierlake.plans.profiles import attribute_rows, compact, ingest, stored_of
 from dossierlake.plans.store import SnapshotStore
@@ -67,11 +66,6 @@ def start_profile_merge(
     return start_each_batch(stream, merge_batch, checkpoint, trigger=trigger)
 
 
-def running_attr_day(stream: DataFrame, dictionary: AttrDictionary) -> DataFrame:
-    """The attribute fold as a stateful streaming aggregation (output mode ``update``)."""
-    return fold_attr_day(attribute_rows(stream, dictionary))
-
-
 def first_seen(stream: DataFrame, dictionary: AttrDictionary) -> DataFrame:
     """Change feed: each (row key, code, value) once, when it is first seen.
 
