@@ -13,6 +13,7 @@ from dossierlake.plans.colocated import BucketedProfiles
 from dossierlake.plans.profiles import attribute_rows, day_tables
 from dossierlake.plans.queries import oracle as q
 from dossierlake.plans.queries.common import BUCKETS, SPLITS, attr_sides, flat, sides
+from dossierlake.plans.search_index import SearchIndex, Term
 from dossierlake.schema import ENTITY, ROW_KEY
 from dossierlake.session import materialize, work_dir
 from dossierlake.sources import adapters
@@ -236,6 +237,30 @@ def attribute_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.unionByName(either)
 
 
+def _indexed(spark: SparkSession, sf_dir: str) -> SearchIndex:
+    index = SearchIndex(spark, work_dir(spark, "search-index"))
+    for name, half in zip(("old", "new"), adapters.split_stored(load_lines(spark, sf_dir), SPLITS["o"])):
+        index.add(attribute_rows(half, DICTIONARY), name)
+    return index
+
+
+PAIR = [Term("S1", "1-URGENT", protocol="O"), Term("M1", "s3", "F", "F")]
+EITHER = [Term("M1", "q4"), Term("S2", "RF")]
+
+
+def index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search on bitmaps of two batches."""
+    index = _indexed(spark, sf_dir)
+    every = index.search(PAIR, "and").withColumn("mode", F.lit("and"))
+    return every.unionByName(index.search(EITHER, "or").withColumn("mode", F.lit("or")))
+
+
+def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = _indexed(spark, sf_dir)
+    every = index.count(PAIR, "and").withColumn("mode", F.lit("and"))
+    return every.unionByName(index.count(EITHER, "or").withColumn("mode", F.lit("or")))
+
+
 def _base_docs(
     spark: SparkSession, sf_dir: str, compat: bool, pages: int | None = None, length: int = PAGE_ITEMS
 ) -> DataFrame:
@@ -474,6 +499,15 @@ def _info_doc_sql(changed: str, pages: int | None = None, length: int = PAGE_ITE
     )
 
 
+_SEARCH = (
+    f"{_O} SELECT entity_type, oid, 'and' AS mode FROM (SELECT DISTINCT entity_type, oid FROM "
+    "o_attr WHERE code = 'S1' AND value = '1-URGENT' AND protocol = 'O' INTERSECT "
+    "SELECT entity_type, oid FROM o_attr WHERE code = 'M1' AND value = 's3' AND "
+    "protocol = 'F' AND action = 'F') UNION ALL "
+    "SELECT DISTINCT entity_type, oid, 'or' FROM o_attr WHERE (code = 'M1' AND value = 'q4') "
+    "OR (code = 'S2' AND value = 'RF')"
+)
+
 QUERIES = {
     "agg1_base_counters": (
         base_counters,
@@ -579,14 +613,10 @@ QUERIES = {
         "(SELECT DISTINCT entity_type, oid FROM o_obs)) "
         "SELECT \"table\", bucket, count(*) AS cnt FROM r GROUP BY ROLLUP (\"table\", bucket)",
     ),
-    "lkp7_attribute_search": (
-        attribute_search,
-        f"{_O} SELECT entity_type, oid, 'and' AS mode FROM (SELECT DISTINCT entity_type, oid FROM "
-        "o_attr WHERE code = 'S1' AND value = '1-URGENT' AND protocol = 'O' INTERSECT "
-        "SELECT entity_type, oid FROM o_attr WHERE code = 'M1' AND value = 's3' AND "
-        "protocol = 'F' AND action = 'F') UNION ALL "
-        "SELECT DISTINCT entity_type, oid, 'or' FROM o_attr WHERE (code = 'M1' AND value = 'q4') "
-        "OR (code = 'S2' AND value = 'RF')",
+    "lkp7_attribute_search": (attribute_search, _SEARCH),
+    "lkp7_index_search": (index_search, _SEARCH),
+    "lkp7_index_counts": (
+        index_counts, f"SELECT mode, count(*) AS entities FROM ({_SEARCH}) GROUP BY mode"
     ),
     "snk5_base_documents": (base_documents, _base_doc_sql(None)),
     "snk5_base_documents_ranked": (base_documents_ranked, _base_doc_sql(None, LENGTH)),
