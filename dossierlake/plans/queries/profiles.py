@@ -214,6 +214,10 @@ def slice_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.slice_rows(load_events(spark, sf_dir), ["seq"], 101, 50)
 
 
+def far_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.slice_by_ranges(load_events(spark, sf_dir), ["seq"], 701, 150)
+
+
 def bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = day_tables(load_lines(spark, sf_dir), DICTIONARY)
     return flat(
@@ -606,6 +610,11 @@ QUERIES = {
         f"{q.with_(q.E_OBS)} SELECT {q.HEADER}, S1, S2, M1 FROM e_obs "
         "ORDER BY seq LIMIT 50 OFFSET 100",
     ),
+    "lkp4_far_slice": (
+        far_slice,
+        f"{q.with_(q.E_OBS)} SELECT {q.HEADER}, S1, S2, M1 FROM e_obs "
+        "ORDER BY seq LIMIT 150 OFFSET 700",
+    ),
     "lkp5_bucket_counts": (
         bucket_counts,
         f"{q.with_(q.O_OBS)}, r AS (SELECT 'base' AS \"table\", {q.bucket(16)} AS bucket FROM "

@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from dossierlake.operators.lookup import slice_by_ranges
 from dossierlake.operators.numbering import in_ranges, numbered, runs
 
 
@@ -42,3 +43,11 @@ def test_no_key_numbers_the_whole_table(spark):
     table = spark.range(100).withColumnRenamed("id", "v").repartition(3)
     assert all(r.position == r.v + 1 for r in numbered(table, [], ["v"]).collect())
     assert numbered(table.where("v < 0"), ["v"], ["v"]).collect() == []
+
+
+def test_far_slices_read_the_ranges_they_meet(spark):
+    table = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"))
+    for offset, length in ((1, 10), (4321, 300), (4990, 50), (0, 3), (6000, 5)):
+        got = [r.v for r in slice_by_ranges(table, ["v"], offset, length).collect()]
+        begin = max(offset, 1) - 1
+        assert got == list(range(5000))[begin : begin + length]
