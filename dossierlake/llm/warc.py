@@ -104,9 +104,12 @@ class Members:
                 return True
         return False
 
-    def until(self, mark: bytes, room: int = 1 << 20) -> bytes:
-        while (at := self.ready.find(mark)) < 0:
-            if len(self.ready) > room or not self.more():
+    def until(self, mark: bytes) -> bytes:
+        """What comes before the mark, however long: a header holds a whole url."""
+        seen = 0
+        while (at := self.ready.find(mark, seen)) < 0:
+            seen = max(0, len(self.ready) - len(mark) + 1)
+            if not self.more():
                 raise ValueError("a record has no end of header")
         found, self.ready = self.ready[:at], self.ready[at + len(mark) :]
         return found

@@ -70,3 +70,10 @@ def test_damage_is_noticed():
     for bad in (good.replace(b"hello", b"hellO"), good.replace(b"hello", b"hello!"), good.replace(b"hello", b"hell")):
         with pytest.raises(ValueError):
             list(warc.read_archive(io.BytesIO(gzip.compress(bad))))
+
+
+def test_a_url_of_several_megabytes(spark):
+    rows = [(1, "http://a.net/" + "x" * 3_000_000, "<p>long</p>"), (2, "http://a.net/", "<p>short</p>")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: (r.payload_bytes, r.record_type) for r in warc.warc_round_trip(pages).collect()}
+    assert found == {1: (11, "response"), 2: (12, "response")}
