@@ -14,15 +14,16 @@ from dossierlake.functions.keys import entity_key
 from dossierlake.functions.times import time_text
 from dossierlake.operators import assemble, attributes, documents, fold, lookup
 from dossierlake.plans import profiles as plan
-from dossierlake.plans import runlog
+from dossierlake.plans import footers, runlog
 from dossierlake.plans.queries import oracle as q
-from dossierlake.plans.queries.common import SPLITS, attr_sides, flat, fresh_store, sides
+from dossierlake.plans.queries.common import BUCKETS, SPLITS, attr_sides, flat, fresh_store, sides
 from dossierlake.plans.store import SnapshotStore, parquet_codec
 from dossierlake.schema import ATTR_KEY, ENTITY, ROW_KEY
 from dossierlake.session import work_dir
 from dossierlake.sources import adapters, generator, paths, streams, tagged_tsv
 from dossierlake.sources.adapters import DICTIONARY, load_events, load_lines, table
 from dossierlake.streaming import keyed, sinks
+from dossierlake.streaming import lookup as stream_lookups
 from dossierlake.streaming import merge as stream_merge
 
 TSV_COLUMNS = {
@@ -631,6 +632,66 @@ def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(plan.stored_profiles(store, DICTIONARY).info)
 
 
+class _Interrupted(SnapshotStore):
+    """Fails once in each gap of a batch: its segments written but not listed, listed but not
+    yet noted in the stream's checkpoint."""
+
+    gaps = ("unlisted", "unnoted")
+
+    def _commit(self, head, segments, batch_id):
+        if self.gaps == _Interrupted.gaps:
+            self.gaps = self.gaps[1:]
+            raise RuntimeError("stopped before the commit")
+        version = super()._commit(head, segments, batch_id)
+        if self.gaps and version > 1:
+            self.gaps = ()
+            raise RuntimeError("stopped after the commit")
+        return version
+
+
+def recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One checkpoint through two failures, one in each gap: every observation counts once."""
+    obs, path = _event_files(spark, sf_dir, "recovery", files=3)
+    store = _Interrupted(spark, work_dir(spark, "recovery-store"), BUCKETS)
+    checkpoint = work_dir(spark, "recovery-cp")
+
+    def start():
+        stream = streams.file_stream(spark, path, obs.schema, max_files_per_trigger=1)
+        return stream_merge.start_profile_merge(stream, store, DICTIONARY, checkpoint, "recovery")
+
+    restarts = stream_merge.run_to_end(start)
+    info = flat(plan.stored_profiles(store, DICTIONARY).info)
+    return info.withColumn("restarts", F.lit(restarts).cast("bigint"))
+
+
+def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, each looked up in the store that the earlier ones have entered."""
+    obs = load_events(spark, sf_dir)
+    store = fresh_store(spark, "stream-lookup")
+    path, found, checkpoint = (work_dir(spark, f"stream-lookup-{x}") for x in ("in", "out", "cp"))
+    for part in range(3):
+        obs.where(F.col("seq") % 3 == part).write.mode("append").parquet(path)
+        stream = streams.file_stream(spark, path, obs.schema)
+        _finish(
+            stream_lookups.start_stored_lookup(
+                stream, store, found, checkpoint, "lookup", merge_with=DICTIONARY
+            )
+        )
+    return flat(spark.read.parquet(found))
+
+
+def footer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of day rows and of last sightings per source, counted from footers."""
+    store = fresh_store(spark, "footer-counts")
+    for name, half in zip(("old", "new"), adapters.split_stored(load_lines(spark, sf_dir), SPLITS["o"])):
+        seen = half.groupBy(*ENTITY).agg(
+            *[F.max(F.when(F.col("data_source") == x, F.col("capture_time"))).alias(f"seen_{x}") for x in "ANR"]
+        )
+        days = plan.day_tables(half, DICTIONARY)["entity_day"].select(*ENTITY, "day", "n")
+        store.append({"seen": seen, "days": days}, name)
+    return flat(footers.count_cells(store, ["seen", "days"]))
+
+
 def batch_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs, path = _event_files(spark, sf_dir, "batches", files=3)
     out = work_dir(spark, "batches-out")
@@ -697,6 +758,23 @@ def _generated_sql() -> str:
 
 _GENERATED = f"{_generated_sql()} SELECT {q.HEADER}, props FROM obs"
 _E_PROPS = "'S1=' || S1 || ';S2=' || S2 || ';M1=' || replace(M1, ',', ';M1=')"
+_CELLS = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", {q.bucket(8)} AS bucket, "
+    f"{'1' if c == '*' else c} AS cell FROM {t}"
+    for t, columns in (
+        ("seen", "* entity_type oid seen_A seen_N seen_R"), ("days", "* entity_type oid day n"),
+    )
+    for c in columns.split()
+).replace("AS cell", "IS NOT NULL AS cell")
+_FOOTER_SQL = (
+    f"{_O}, {q.sides('o')}, halves AS (SELECT *, capture_time < {q.SPLIT['o']} AS half FROM o_obs), "
+    "seen AS (SELECT entity_type, oid, "
+    + ", ".join(f"max(capture_time) FILTER (data_source = '{x}') AS seen_{x}" for x in "ANR")
+    + f" FROM halves GROUP BY entity_type, oid, half), days AS (SELECT entity_type, oid, {q.day()} "
+    f"AS day, count(*) AS n FROM halves GROUP BY entity_type, oid, 3, half), cells AS ({_CELLS}) "
+    "SELECT \"table\", \"column\", bucket, CAST(count_if(cell) AS BIGINT) AS n FROM cells "
+    "GROUP BY GROUPING SETS ((\"table\", \"column\", bucket), (\"table\", \"column\"))"
+)
 _E_ATTRS = f"{_E} SELECT DISTINCT {q.KEY}, code, value FROM e_attr"
 _SHOWN = (
     f"{q.HEADER}, {q.ENTITY_KEY} AS md5, CAST(5 AS BIGINT) AS n_props, "
@@ -902,6 +980,21 @@ QUERIES = {
         f"{q.with_(q.E_OBS, q.info('e_obs', 'i'))} SELECT entity_type, oid, cnt, first_time, "
         "last_time, day_cnt, days FROM i",
     ),
+    "str4_recovery": (
+        recovery,
+        f"{q.with_(q.E_OBS, q.info('e_obs', 'i'))} SELECT entity_type, oid, cnt, first_time, "
+        "last_time, day_cnt, days, CAST(2 AS BIGINT) AS restarts FROM i",
+    ),
+    "joi2_stream_lookup": (
+        stream_lookup,
+        f"{_E}, arriving AS (SELECT {q.KEY}, seq % 3 AS batch_id, count(*) AS new_cnt FROM e_obs "
+        f"GROUP BY ALL), held AS (SELECT {q.KEY}, b AS batch_id, count(DISTINCT (code, value)) AS "
+        "stored_values, min(capture_time) AS stored_first_time, max(capture_time) AS "
+        "stored_last_time FROM e_attr JOIN range(1, 3) r(b) ON seq % 3 < b GROUP BY ALL) "
+        "SELECT arriving.*, stored_values, stored_first_time, stored_last_time, batch_id AS version "
+        f"FROM arriving LEFT JOIN held USING ({q.KEY}, batch_id)",
+    ),
+    "lkp5_footer_counts": (footer_counts, _FOOTER_SQL),
     "str5_batch_folders": (
         batch_folders,
         "SELECT CAST(3 AS BIGINT) AS batches, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS "

@@ -112,11 +112,13 @@ class SnapshotStore:
 
     def read(self, table: str, version: int | None = None) -> DataFrame | None:
         """All segments of a table as one bag with the ``bucket`` column."""
+        scans = [scan.drop("segment") for scan in self.scans(table, version)]
+        return reduce(DataFrame.unionByName, scans) if scans else None
+
+    def scans(self, table: str, version: int | None = None) -> list[DataFrame]:
+        """The same rows with ``segment``, a frame for all segments that skip the same buckets."""
         row = self.at(version)
         segments = [s for s in (row["segments"] if row else []) if s["table"] == table]
-        if not segments:
-            return None
-        # Segments with the same skipped buckets share one scan.
         groups: dict[tuple, list] = {}
         for s in segments:
             groups.setdefault((s["schema"], tuple(sorted(s["skip"]))), []).append(s["path"])
@@ -124,7 +126,7 @@ class SnapshotStore:
         for (schema, skip), paths in groups.items():
             frame = self._scan(paths, schema, table)
             scans.append(frame.where(~F.col("bucket").isin(*skip)) if skip else frame)
-        return reduce(DataFrame.unionByName, scans)
+        return scans
 
     def _scan(self, paths: list[str], schema: str, table: str) -> DataFrame:
         """One scan over the folders ``segment=<id>`` of a table."""
@@ -133,13 +135,12 @@ class SnapshotStore:
             self.spark.read.schema(struct)
             .option("basePath", f"{self.root}/data/{table}")
             .parquet(*[f"{self.root}/{path}" for path in paths])
-            .drop("segment")
         )
 
     def newest(self, table: str, version: int | None = None) -> DataFrame:
         """The segment of a table that was listed last."""
         listed = [s for s in self.at(version)["segments"] if s["table"] == table]
-        return self._scan([listed[-1]["path"]], listed[-1]["schema"], table)
+        return self._scan([listed[-1]["path"]], listed[-1]["schema"], table).drop("segment")
 
     def segment_count(self, table: str) -> int:
         head = self.head()
@@ -196,12 +197,15 @@ class SnapshotStore:
         )
         # The rebalance brings a bucket together in few files; adaptive execution splits
         # a bucket that is too big for one task and merges small ones. Files sorted by
-        # id let a lookup skip row groups; more sort columns would only cost time.
+        # id let a lookup skip row groups; more sort columns would only cost time. The ids'
+        # Bloom filter, no larger than their number asks for, rules out the rest.
         (
             keyed.hint("rebalance", F.col("bucket"))
             .sortWithinPartitions("bucket", "oid")
             .write.partitionBy("bucket")
             .option("compression", self.codec)
+            .option("parquet.bloom.filter.enabled#oid", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
             .parquet(f"{self.root}/{path}")
         )
         return {"table": table, "path": path, "schema": keyed.schema.json(), "skip": []}

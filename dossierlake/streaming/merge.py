@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -66,6 +67,21 @@ def start_profile_merge(
     return start_each_batch(stream, merge_batch, checkpoint, trigger=trigger)
 
 
+def run_to_end(start: Callable[[], StreamingQuery], restarts: int = 3) -> int:
+    """Runs a query that ends by itself; one that fails starts again from its checkpoint.
+
+    Returns how often it was started again. A failure after the last restart is raised.
+    """
+    for attempt in range(restarts + 1):
+        try:
+            start().awaitTermination()
+            return attempt
+        except StreamingQueryException:
+            if attempt == restarts:
+                raise
+    raise ValueError(f"negative number of restarts: {restarts}")
+
+
 def first_seen(stream: DataFrame, dictionary: AttrDictionary) -> DataFrame:
     """Change feed: each (row key, code, value) once, when it is first seen.
 
