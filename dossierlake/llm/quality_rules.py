@@ -10,8 +10,9 @@ Scores are not comparable across languages and table sizes: a language's scores
 its share of trusted text over its share of all text, and smoothing moves rare n-grams. So with a
 language column, as in the registered query, each language has its own threshold, the LOW_PERCENT percentile of its trusted documents' scores, each
 counted without the document's own n-grams among the trusted ones; -THRESHOLD / their number is taken
-off for small numbers. Without trusted documents of a language nothing tells its good texts, and its
-documents are judged by the base rule alone. Calls without a language column compare with THRESHOLD.
+off for small numbers. A language without trusted documents is judged by the same percentile of all
+trusted documents, which its texts reach only as far as their n-grams are those of trusted texts in
+other languages. Calls without a language column compare with THRESHOLD.
 
 Null or empty text: all counts 0, no n-grams, failed by the word rule. Text shorter than an n-gram:
 score 0. Repeated rows: scored one by one; a document with several labels is trusted if any of them
@@ -152,8 +153,8 @@ def scores_without_own(
 def thresholds(
     docs: DataFrame, labels: DataFrame, target: np.ndarray, corpus: np.ndarray,
     id_col: str, text_col: str, lang_col: str,
-) -> dict[str | None, int]:
-    """Least score in 1/SCALE of every language with trusted documents."""
+) -> tuple[dict[str | None, int], int]:
+    """Least score in 1/SCALE of every language with trusted documents, and of the others."""
     shared = prepared(docs.sparkSession).sparkContext.broadcast((target, corpus))  # 2 << BIN_BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +175,13 @@ def thresholds(
     scored = scored.join(_trusted(labels).hint("merge"), "doc_id", "left_semi")
     # Scores are whole numbers, so a percentile holds few distinct ones.
     low = F.percentile("least", F.lit(LOW_PERCENT / 100))
-    found = scored.groupBy("lang").agg(low.alias("low"), F.count("*").alias("n")).collect()
-    return {r["lang"]: int(np.floor(r["low"] + THRESHOLD * SCALE / r["n"])) for r in found}
+    found = scored.rollup("lang").agg(
+        low.alias("low"), F.count("*").alias("n"), F.grouping("lang").alias("every")
+    ).where("n > 0").collect()
+    bounds = [(r["every"], r["lang"], int(np.floor(r["low"] + THRESHOLD * SCALE / r["n"]))) for r in found]
+    # No score is as low as -100: without any trusted document there is nothing to compare with.
+    others = next((bound for every, _, bound in bounds if every), -100 * SCALE)
+    return {lang: bound for every, lang, bound in bounds if not every}, others
 
 
 def _trusted(labels: DataFrame) -> DataFrame:
@@ -241,20 +247,20 @@ def measure(
 
 def score_documents(
     docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
-    lang_col: str | None = None, least: dict[str | None, int] | None = None,
+    lang_col: str | None = None, least: tuple[dict[str | None, int], int] | None = None,
 ) -> DataFrame:
     # 1 << BIN_BITS numbers, and one for each language.
     shared = prepared(docs.sparkSession).sparkContext.broadcast((ratios, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, by_lang = shared.value
+        table, bounds = shared.value
         for batch in batches:
             data, offsets = flat_bytes(batch.column(1))
-            if by_lang is None:
+            if bounds is None:
                 bound = np.full(batch.num_rows, round(THRESHOLD * SCALE))
             else:
-                # No score is as low as the bound of a language without trusted documents.
-                bound = np.array([by_lang.get(x, -100 * SCALE) for x in batch.column(2).to_pylist()], np.int64)
+                by_lang, others = bounds
+                bound = np.array([by_lang.get(x, others) for x in batch.column(2).to_pylist()], np.int64)
             for a, b in slices(offsets, SLICE):
                 part = data[offsets[a] : offsets[b]]
                 got = measure(part, offsets[a : b + 1] - offsets[a], table, bound[a:b])

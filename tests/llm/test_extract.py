@@ -1,5 +1,9 @@
 """Main text of pages."""
 
+import time
+
+import pytest
+
 from dossierlake.llm import extract
 from dossierlake.llm.labelled_pages import PAGES
 
@@ -7,6 +11,15 @@ ARTICLE = "<article><h1>T &amp; U</h1><p>One  two\n three&nbsp;four <b>five</b>s
 TEXT = "T & U\nOne two three four fivesix. Seven\na b c d"
 
 
+def plain(markup):
+    """The markup with a space for every tag."""
+    parts, at = [], 0
+    for tag in extract.tags(markup):
+        parts.append(markup[at : tag.start])
+        at = tag.end
+    return " ".join([*parts, markup[at:]])
+
+
 def test_parts_of_a_page():
     page = (
         '<!DOCTYPE html><html><head><title>x</title><style>p{}</style><script>var t="</p>";</script></head><body>'
@@ -36,7 +49,7 @@ def test_no_part_of_an_article_is_cut():
         for part in (items, links, cells):
             for inner in (part + para, para + part, para + part + short, short + part + para):
                 page = outside + around.format(inner) + outside
-                assert extract.main_text(page).split() == extract._SCAN.sub(" ", inner).split()
+                assert extract.main_text(page).split() == plain(inner).split()
 
 
 def test_class_names_do_not_hide_a_whole_text():
@@ -64,6 +77,42 @@ def test_odd_markup():
     assert len(extract.main_text(long)) == 999_999
 
 
+def test_forms_and_longer_class_names_hide_no_text():
+    words = " ".join(f"w{i}" for i in range(30))
+    for inner in (f"<main><article><p>{words}</p></article></main>", f"<div><p>{words}</p></div>"):
+        assert extract.main_text(f"<form action='x'>{inner}</form>") == words
+        assert extract.main_text(f"<body><form id='aspnetForm'><div>{inner}</div></form></body>") == words
+    mail = "<form><label>Mail</label><input><button>Send it now</button></form>"
+    assert extract.main_text(f"<article><p>{words}</p>{mail}</article>") == words
+    part = '<div class="elementor-widget-text"><p>some other body text</p></div>'
+    assert extract.main_text(f"<article><p>{words}</p>{part}</article>") == f"{words}\nsome other body text"
+    assert extract.main_text(f"{part}<article><p>{words}</p></article>{part}") == words
+
+
+def test_pieces_of_markup():
+    page = '<!-- a > b --><p title="x > y">1 < 2</p><svg/><SCRIPT src="a">if (a<b) "</p>"</SCRIPT ><![CDATA[z]]><br/>'
+    found = [(t.name or t.raw, t.close, page[t.start : t.end]) for t in extract.tags(page)]
+    assert found == [
+        ("", False, "<!-- a > b -->"), ("p", False, '<p title="x > y">'), ("p", True, "</p>"), ("svg", False, "<svg/>"),
+        ("script", False, '<SCRIPT src="a">if (a<b) "</p>"</SCRIPT >'), ("", False, "<![CDATA[z]]>"),
+        ("br", False, "<br/>"),
+    ]
+    assert plain('x<a title="never closed>y</a>z') == "x y z"
+    assert plain("a <b") == "a  " and plain("a < b") == "a < b" and plain("a<!-- b") == "a "
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, '<a ">x"' * 150_000, '<a "' * 250_000, "<!--" * 250_000, "<![CDATA[" * 100_000 + ">",
+     "<script " * 120_000 + ">", "<" * 1_000_000, '<div class="x-menu-y">' * 10_000 + "word " * 50,
+     "<div>" * 10_000 + "</b>" * 10_000 + "word", "<form>" * 10_000 + "word"],
+)
+def test_broken_and_deep_markup_takes_linear_time(page):
+    started = time.time()
+    extract.main_text(page)
+    assert time.time() - started < 10
+
+
 def test_stretch_equals_brute_force():
     """The chosen blocks have the highest sum of all contiguous ones."""
     w = extract.default_weights()
@@ -80,8 +129,8 @@ def test_stretch_equals_brute_force():
 def test_labelled_pages_are_told_apart():
     for page in PAGES:
         text = extract.main_text("".join(markup for markup, _ in page))
-        plain = [extract._SCAN.sub(" ", markup).split() for markup, label in page if label == 0]
-        for words in plain:
+        outside = [plain(markup).split() for markup, label in page if label == 0]
+        for words in outside:
             assert not words or " ".join(words) not in text
 
 

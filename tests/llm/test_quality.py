@@ -98,11 +98,16 @@ def test_verdicts_do_not_depend_on_the_share_of_a_language(spark):
         assert sum(clean) >= 0.8 * len(clean)
 
 
-def test_language_without_trusted_documents_is_left_to_the_base_rule(spark):
-    rows = [(i, prose(i, 60), "en" if i < 8 else None) for i in range(12)]
+def test_language_without_trusted_documents_has_the_threshold_of_all(spark):
+    rows = [(i, prose(i, 60), "en" if i < 40 else None) for i in range(60)]
+    rows += [(i, prose(i, 60).replace("w", "qx"), None) for i in range(60, 70)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    found = quality_rules.apply_rules(docs, labels(spark, [(i, 1, 0) for i in range(8)]), lang_col="lang").collect()
-    assert all(r["kept"] for r in found if r["doc_id"] >= 8)
+    marks = labels(spark, [(i, 1, 0) for i in range(40)])
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.apply_rules(docs, marks, lang_col="lang").collect()}
+    assert sum(got[i] for i in range(40, 60)) >= 16
+    assert not any(got[i] for i in range(60, 70))
+    none = quality_rules.apply_rules(docs, marks.limit(0), lang_col="lang").collect()
+    assert all(r["kept"] != r["base_failed"] for r in none)
 
 
 def test_slices_change_nothing():
