@@ -9,8 +9,9 @@ none that is held out.
 
 Null or empty text, and a text without letters and digits: score 0. Repeated rows and a null id are
 scored as they come; a null id is not held out. Fewer than two labelled classes: every score is 0.
-A document with several labels is toxic if one of them says so. Empty table: no rows. Other columns
-are kept by ``drop_toxic`` and not read.
+A document with several labels is toxic if one of them says so. The threshold applies to the network's
+own probability, whatever the number of toxic examples. Empty table: no rows. Other columns
+are kept by ``with_scores`` and not read.
 """
 
 from __future__ import annotations
@@ -32,8 +33,6 @@ SAMPLE = 1000
 SAMPLE_CHARS = 16_000
 EPOCHS = 14  # a small sample takes more, toward so many updates
 UPDATES, MOST_EPOCHS = 250, 40
-# Toxic texts that the sample would need for its verdicts to be trusted by half.
-FEW = 20
 AT_ONCE = 64
 RATE = 0.01
 THRESHOLD = 0.3
@@ -114,8 +113,6 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Network | None
             some = chosen[a : a + AT_ONCE]
             adam.rate = RATE * (1 - epoch / epochs)
             adam.update(net.p, net.gradients(batch.part(some), toxic[some].astype(np.float32)))
-    known = float((labels > 0.5).sum())
-    net.p["bias"] -= np.float32(np.log((known + FEW) / known))
     return net
 
 

@@ -53,6 +53,55 @@ def test_gradients_equal_differences():
         assert g[k].reshape(-1)[at] == pytest.approx((sides[0] - sides[1]) / 2e-3, rel=1e-3, abs=1e-6), k
 
 
+def test_forward_pass_equals_a_plain_one():
+    texts = ["The quick brown grubnik " * 20, "other, words", "x", "", "é à " * 40 + "ends"]
+    net = gru.Network(3)
+    batch = gru.Batch(*one_batch(texts))
+    got = net.logits(batch)
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    h = gru.HIDDEN
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def inputs(word):
+        alone = gru.Batch(*one_batch([word]))
+        return np.concatenate([p["word"][alone.bins[0]], p["gram"][alone.grams].mean(0)])
+
+    def states(xs, w, u, b):
+        now, out = np.zeros(h), []
+        for x in xs:
+            a, c = x @ w + b, now @ u
+            z, r = sigmoid(a[:h] + c[:h]), sigmoid(a[h : 2 * h] + c[h : 2 * h])
+            fresh = np.tanh(a[2 * h :] + r * c[2 * h :])
+            now = z * now + (1 - z) * fresh
+            out.append(now)
+        return out
+
+    want, rows = [], []
+    for row, text in enumerate(texts):
+        words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+        starts = range(0, max(len(words) - gru.WINDOW, 0) + gru.STRIDE, gru.STRIDE) if words else []
+        for start in starts:
+            xs = [inputs(w) for w in words[start : start + gru.WINDOW]]
+            there = states(xs, p["wf"], p["uf"], p["bf"])
+            back = states(xs[::-1], p["wb"], p["ub"], p["bb"])[::-1]
+            both = np.array([np.concatenate(s) for s in zip(there, back, strict=True)])
+            weight = np.exp(both @ p["attend"])
+            want.append(weight @ both / weight.sum() @ p["out"] + p["bias"][0])
+            rows.append(row)
+    assert rows == list(batch.window_rows)
+    assert got == pytest.approx(want, abs=1e-4)
+
+
+def test_thirty_toxic_examples_are_enough():
+    texts, marks = corpus(120)
+    net = toxicity.train(texts, marks)
+    others, theirs = corpus(400, seed=9)
+    found = toxicity.scores(net, *one_batch(others[120:])) >= toxicity.THRESHOLD
+    assert (found == (theirs[120:] > 0)).mean() >= 0.98
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 31, 32, 33, 48, 49, 200):
         windows, rows = gru._windows(np.zeros(n, np.int64), 2)
