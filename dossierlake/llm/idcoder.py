@@ -28,7 +28,7 @@ MAGIC = b"IDB1"
 HEAD = struct.Struct("<4sIIIII")  # magic, ids, lanes, vocabulary, bytes of the body, crc of the ids
 
 LANE_IDS = 256  # a lane has about so many ids or more
-MAX_LANES = 2048
+MAX_LANES = 8192
 TABLE_BITS = 18
 ORDER0_BITS = 19
 MIX_BITS = 12

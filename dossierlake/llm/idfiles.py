@@ -29,7 +29,7 @@ from dossierlake.session import materialize, work_dir
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 VOCABULARY = 50257
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 22
 BLOCK = struct.Struct("<II")  # bytes of the document table, bytes of the block
 PART = np.dtype([("doc", "<i8"), ("null", "u1"), ("ids", "<u4"), ("last", "u1")])
 
