@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import re
 from array import array
-from itertools import filterfalse
 
 import public_tokenizers
 import regex
@@ -61,7 +60,10 @@ class Encoder:
 
     def model(self, token: str) -> bytes:
         """Ids of one pre-token of Latin-1 letters."""
-        word = token.encode().decode("latin-1").translate(self.letters)
+        if token.isalpha() and token.isascii():
+            word = token
+        else:
+            word = token.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.library.model.tokenize(word)]).tobytes()
 
     def piece(self, text: str, space: str) -> bytes:
@@ -92,7 +94,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as little-endian 32-bit numbers; null is empty."""
-        memo, known = self.memo, self.memo.__contains__
+        memo = self.memo
         out = []
         for text in texts:
             if not text or any(mark in text for mark in self.marks):
@@ -100,23 +102,25 @@ class Encoder:
                 continue
             parts = text.split(" ")
             first = parts.pop(0) if self.space else ""
+            got = list(map(memo.get, parts))
             long, odd = {}, self.space and len(parts) and first[-1:].isspace()
-            for part in set(filterfalse(known, parts)):
-                if self.space and (not part or part[0].isspace() or part[-1].isspace()):
-                    odd = True
-                    break
-                ids = self.piece(part, self.space)
-                if len(part) <= MEMO_LETTERS:
-                    memo[part] = ids
-                else:
-                    long[part] = ids
+            for at in [i for i, ids in enumerate(got) if ids is None]:
+                part = parts[at]
+                ids = memo.get(part) or long.get(part)
+                if ids is None:
+                    if self.space and (not part or part[0].isspace() or part[-1].isspace()):
+                        odd = True
+                        break
+                    ids = self.piece(part, self.space)
+                    if len(part) <= MEMO_LETTERS:
+                        memo[part] = ids
+                    else:
+                        long[part] = ids
+                got[at] = ids
             if odd:
                 out.append(self.runs(text))
-            elif long:
-                got = [long[p] if p in long else memo[p] for p in parts]
-                out.append(self.piece(first, "") + b"".join(got))
             else:
-                out.append((self.piece(first, "") if first else b"") + b"".join(map(memo.__getitem__, parts)))
+                out.append((self.piece(first, "") if first else b"") + b"".join(got))
             if len(memo) + len(self.bare) > MEMO_ROOM:
                 memo.clear()
                 self.bare.clear()
