@@ -13,7 +13,7 @@ from dossierlake.operators.attributes import (
     last_single_props,
     unpivot_attributes,
 )
-from dossierlake.plans.profiles import day_tables, merge_tables, profiles_of
+from dossierlake.plans.profiles import day_tables, fold_attributes, merge_tables, profiles_of
 
 DICTIONARY = AttrDictionary(single=["S1"], multi=["M1"])
 WIDE = (
@@ -167,3 +167,21 @@ def test_dictionary_descriptor_and_join(spark, tmp_path):
     big = AttrDictionary([f"c{i}" for i in range(300)], ["L"])
     kinds = {r["code"]: r["kind"] for r in big.join_kind(rows).collect()}
     assert kinds == {"N": None, "L": "multi", "A": None}
+
+
+def moves(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_an_observation_moves_once_and_a_merged_day_once(spark):
+    obs = spark.createDataFrame(observations(5), WIDE).withColumn("entity_type", F.lit("t"))
+    days = fold_attributes(obs, DICTIONARY)
+    assert len(moves(days)) == 1 and "code" not in moves(days)[0]
+    plain = fold.fold_attr_day(unpivot_attributes(obs, DICTIONARY)).select(days.columns)
+    assert days.exceptAll(plain).isEmpty() and plain.exceptAll(days).isEmpty()
+    merged = fold.merge_attr_day(days, days, by=fold.ATTR_KEY)
+    base = fold.base_profile(merged, placed=True)
+    assert len(moves(base)) == 3
+    twice = fold.base_profile(fold.merge_attr_day(plain, plain))
+    assert sorted(base.collect(), key=str) == sorted(twice.select(base.columns).collect(), key=str)
