@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dossierlake.operators import fold, merge
-from dossierlake.plans.colocated import BucketedProfiles, joins_within_buckets
+from dossierlake.plans.colocated import BUCKET_ROWS, BucketedProfiles, buckets_for, joins_within_buckets
 from dossierlake.plans.profiles import attribute_rows
 from dossierlake.schema import ROW_KEY
 from dossierlake.session import work_dir
@@ -88,3 +88,9 @@ def test_a_busy_row_key_lies_in_several_buckets(spark):
     assert len(files) > 3 and max(r["count"] for r in files) < 1500
     merged = store.merge(rows.limit(1), work_dir(spark, "bucketed")).read("base")
     assert merged.where("status = 'UPDATE'").count() == 3000 and merged.agg(F.sum("cnt")).first()[0] == 3001
+
+
+def test_buckets_grow_with_the_rows():
+    assert buckets_for(10, 8) == 8
+    assert buckets_for(8 * BUCKET_ROWS + 1, 8) == 9
+    assert buckets_for(1000 * BUCKET_ROWS, 8) == 1000
