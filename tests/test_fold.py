@@ -178,6 +178,7 @@ def test_an_observation_moves_once_and_a_merged_day_once(spark):
     obs = spark.createDataFrame(observations(5), WIDE).withColumn("entity_type", F.lit("t"))
     days = fold_attributes(obs, DICTIONARY)
     assert len(moves(days)) == 1 and "code" not in moves(days)[0]
+    assert "REPARTITION_BY_NUM" in moves(days)[0]
     plain = fold.fold_attr_day(unpivot_attributes(obs, DICTIONARY)).select(days.columns)
     assert days.exceptAll(plain).isEmpty() and plain.exceptAll(days).isEmpty()
     merged = fold.merge_attr_day(days, days, by=fold.ATTR_KEY)
