@@ -186,3 +186,20 @@ def test_an_observation_moves_once_and_a_merged_day_once(spark):
     assert len(moves(base)) == 3
     twice = fold.base_profile(fold.merge_attr_day(plain, plain))
     assert sorted(base.collect(), key=str) == sorted(twice.select(base.columns).collect(), key=str)
+
+
+def test_day_rows_of_info_attributes_are_hashed(spark):
+    """Day rows are aggregated in numbers; only the few rows of values are sorted."""
+    days = spark.createDataFrame([], "entity_type string, oid string, data_source string, protocol string, "
+                                 "action string, code string, value string, day int, n bigint, first_time bigint, "
+                                 "last_time bigint, latest decimal(38,0), arrival decimal(38,0)")
+    plan = fold.info_attributes(days, DICTIONARY)._jdf.queryExecution().sparkPlan().toString()
+    lines = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert "HashAggregate" in lines[-1], plan
+
+
+def test_rank_time_orders_like_the_time(spark):
+    rows = [(t, s, p) for t in (-5, 0, 7) for s in (0, 3, 10**18) for p in (0, 999_999)]
+    frame = spark.createDataFrame(rows, "capture_time bigint, seq bigint, pos int")
+    got = frame.select("capture_time", fold.rank_time(fold.latest_rank()).alias("t")).collect()
+    assert [r["t"] for r in got] == [r["capture_time"] for r in got]
