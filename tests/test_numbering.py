@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from dossierlake.operators import parts
 from dossierlake.operators.lookup import slice_by_ranges
 from dossierlake.operators.numbering import in_ranges, numbered, runs
 
@@ -51,3 +52,17 @@ def test_far_slices_read_the_ranges_they_meet(spark):
         got = [r.v for r in slice_by_ranges(table, ["v"], offset, length).collect()]
         begin = max(offset, 1) - 1
         assert got == list(range(5000))[begin : begin + length]
+
+
+def test_only_busy_keys_are_ranked_in_ranges(spark, monkeypatch):
+    rows = [("a", i) for i in range(7)] + [("b", i) for i in range(3)] + [(None, i) for i in range(5)]
+    frame = spark.createDataFrame(rows, "k string, v int")
+    want = sorted(((k, v, v // 2) for k, v in rows), key=repr)
+    seen = []
+    ranged = parts.numbered
+    monkeypatch.setattr(parts, "numbered", lambda rows, *a: seen.append(rows.count()) or ranged(rows, *a))
+    assert sorted(map(tuple, parts.with_page(frame, ["k"], ["v"], length=2).collect()), key=repr) == want
+    assert seen == []
+    monkeypatch.setattr(parts, "BUSY_ITEMS", 4)
+    assert sorted(map(tuple, parts.with_page(frame, ["k"], ["v"], length=2).collect()), key=repr) == want
+    assert seen == [12]
