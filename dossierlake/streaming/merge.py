@@ -3,7 +3,8 @@
 The stream uses the batch fold: each micro-batch is folded and added to the store as one
 segment. The checkpoint replays a failed batch with the same number and content, and the
 store skips a batch id it has already listed, so every observation counts once. There is
-no watermark: observations of any age are merged.
+no watermark: observations of any age are merged. A batch is dealt out as it arrives, so that no
+task folds a whole file of it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from dossierlake.dictionary import AttrDictionary
+from dossierlake.operators.attributes import dealt_by_day
 from dossierlake.operators.fold import fold_attr_day
 from dossierlake.operators.merge import new_values
 from dossierlake.plans.profiles import attribute_rows, compact, ingest, stored_of
@@ -55,7 +57,7 @@ def start_profile_merge(
 
     def merge_batch(batch: DataFrame, number: int) -> None:
         batch_id = f"{stream_id}:{number}"
-        batch.persist()
+        batch = dealt_by_day(batch).persist()
         try:
             if batch.isEmpty():
                 return
@@ -116,7 +118,7 @@ def start_change_feed(
         batch_id = f"{stream_id}:{number}"
         if store.has_batch(batch_id):
             return
-        batch.persist()
+        batch = dealt_by_day(batch).persist()
         try:
             if batch.isEmpty():
                 return

@@ -41,3 +41,17 @@ def test_day_rows_move_once(spark):
     merged = plan.merged_with_status(day_table(spark, range(8), (1, 2)), day_table(spark, range(5, 12), (2, 3)))
     text = merged._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 2, text
+
+
+def test_a_stream_folds_no_file_in_one_task(spark, out, monkeypatch):
+    from dossierlake.plans.store import SnapshotStore
+    from dossierlake.sources import streams
+    from dossierlake.streaming import merge as stream_merge
+    from tests.test_fold import DICTIONARY, WIDE, observations
+
+    spark.createDataFrame(observations(5), WIDE).coalesce(1).write.parquet(out("in"))
+    parts, rows = [], stream_merge.attribute_rows
+    monkeypatch.setattr(stream_merge, "attribute_rows", lambda obs, d: parts.append(obs.rdd.getNumPartitions()) or rows(obs, d))
+    source, store = streams.file_stream(spark, out("in"), WIDE), SnapshotStore(spark, out("store"), buckets=4)
+    stream_merge.start_change_feed(source, store, DICTIONARY, out("feed"), out("cp"), "f").awaitTermination(120)
+    assert parts == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
