@@ -10,10 +10,12 @@ Verification computes J_P itself. Each document is compared with its pivot, the
 heads one of its buckets; links give first classes. Buckets that hold several classes then have leaders:
 of each class the member whose buckets hold most documents, and of these the ``LEADERS`` with most. Members
 are compared with the leaders of the other classes of their bucket, unless both have one pivot and their
-distances to it differ by more than the allowed distance: 1 - J_P is a metric. So a bucket of n
-documents gives at most n * (LEADERS + 1) pairs. A link between two documents of one bucket that are in
-different classes after that, neither of them a pivot or leader, is not found; ``leaders=None`` compares
-all pairs of different classes in a bucket, which finds every link that shares a band.
+distances to it differ by more than the allowed distance: 1 - J_P is a metric. So a round over a bucket of n
+documents gives at most n * LEADERS pairs. Links join classes, and members that have led leave their bucket:
+whoever is left there has been compared with them. Rounds go on until no bucket holds several classes, each
+with ``GROWTH`` times as many leaders up to ``MOST_LEADERS``, later ones whatever their class. So every link that
+shares a band is found; that takes as many comparisons as there are pairs only in buckets whose documents are
+alike and not near. ``leaders=None`` compares all pairs of different classes of a bucket at once.
 
 Classes are the components of exact copies and links, named by their smallest id. Components are
 found by large-star and small-star steps on the edge table, written to the shared folder each time.
@@ -43,8 +45,10 @@ LIMIT = 1 - SIMILARITY + 1e-12
 BANDS = 25
 BAND_ROWS = 5
 SLICE = 1 << 20
-# Leaders of a bucket that holds several classes.
+# Leaders of a bucket that holds several classes, in the first round; later rounds have more.
 LEADERS = 8
+GROWTH = 8
+MOST_LEADERS = 512
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -242,10 +246,25 @@ def classes(docs: DataFrame, leaders: int | None = LEADERS) -> DataFrame:
     members = members.withColumn("d", F.coalesce("distance", F.lit(0.0))).drop("distance")
     members = materialize(members, "placed")
 
-    pairs = materialize(_with_leaders(_classed(members, found), leaders), "leader-candidates")
-    last = _links(materialize(compare(pairs, texts), "to-leaders"))
-    if not last.isEmpty():
-        found = materialize(components(spark, links.unionByName(last)), "classes")
+    size, one_a_class = leaders, True
+    while True:
+        members = _classed(members, found)
+        if members.isEmpty():
+            break
+        if leaders is not None:
+            heads = materialize(_leaders(members, size, one_a_class), "leaders")
+            pairs = _with_leaders(members, heads)
+        else:
+            pairs = _all_pairs(members)
+        last = materialize(_links(compare(materialize(pairs, "leader-candidates"), texts)), "links")
+        if not last.isEmpty():
+            links = materialize(links.unionByName(last), "links")
+            found = materialize(components(spark, links), "classes")
+        if leaders is None:
+            break
+        led = heads.select("bucket", F.col("first_").alias("first"))
+        members = members.join(led, ["bucket", "first"], "left_anti").drop("class")
+        size, one_a_class = max(size, min(size * GROWTH, MOST_LEADERS)), False
 
     named = copies.join(found, copies["first"] == found["doc"], "left")
     named = named.select("digest", F.coalesce("class", "first").alias("class"))
@@ -268,31 +287,45 @@ def _classed(members: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(placed.join(several, "bucket", "left_semi"), "open")
 
 
-def _with_leaders(open_: DataFrame, leaders: int | None) -> DataFrame:
-    """Pairs of a member and a leader of another class of its bucket that may be linked."""
-    if leaders is None:
-        heads = open_.select("bucket", *[F.col(c).alias(f"{c}_") for c in ("class", "first", "pivot", "d")])
-        pairs = open_.join(heads, "bucket").where(_may_be_linked(F.col)).select(F.col("first").alias("a"), F.col("first_").alias("b"))
-        return pairs.distinct()
+def _all_pairs(open_: DataFrame) -> DataFrame:
+    """Pairs of members of different classes of a bucket that may be linked."""
+    heads = open_.select("bucket", *[F.col(c).alias(f"{c}_") for c in ("class", "first", "pivot", "d")])
+    pairs = open_.join(heads, "bucket").where(_may_be_linked(F.col))
+    return pairs.select(F.col("first").alias("a"), F.col("first_").alias("b")).distinct()
+
+
+def _leaders(open_: DataFrame, size: int, one_a_class: bool) -> DataFrame:
+    """At most ``size`` leaders of each bucket, in columns that end with a line."""
     entry = F.struct("reach", (-F.col("first")).alias("minus"), "pivot", "d")
-    heads = open_.groupBy("bucket", "class").agg(F.max(entry).alias("top"))
+    heads = open_.select("bucket", "class", entry.alias("top"))
+    if one_a_class:
+        heads = heads.groupBy("bucket", "class").agg(F.max("top").alias("top"))
     order = Window.partitionBy("bucket").orderBy(F.desc("top"))
-    heads = heads.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders)
-    leader = F.struct(
-        F.col("class").alias("class_"), (-F.col("top.minus")).alias("first_"),
+    heads = heads.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+    return heads.select(
+        "bucket", F.col("class").alias("class_"), (-F.col("top.minus")).alias("first_"),
         F.col("top.pivot").alias("pivot_"), F.col("top.d").alias("d_"),
     )
-    heads = heads.groupBy("bucket").agg(F.collect_list(leader).alias("leaders"))
+
+
+def _with_leaders(open_: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pairs of a member and a leader of another class of its bucket that may be linked."""
+    heads = heads.groupBy("bucket").agg(F.collect_list(F.struct("class_", "first_", "pivot_", "d_")).alias("leaders"))
     # A member meets the same leaders in many buckets: its leaders are brought together before pairs are made.
-    found = F.filter("leaders", lambda x: _may_be_linked(lambda c: x[c] if c.endswith("_") else F.col(c)))
-    met = open_.join(heads, "bucket").select("first", F.transform(found, lambda x: x["first_"]).alias("met"))
+    # Two leaders of a bucket meet once.
+    leads = F.exists("leaders", lambda x: x["first_"] == F.col("first"))
+    found = F.filter(
+        "leaders",
+        lambda x: _may_be_linked(lambda c: x[c] if c.endswith("_") else F.col(c)) & (~F.col("leads") | (x["first_"] < F.col("first"))),
+    )
+    met = open_.join(heads, "bucket").withColumn("leads", leads).select("first", F.transform(found, lambda x: x["first_"]).alias("met"))
     met = met.groupBy("first").agg(F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"))
     return met.select(F.col("first").alias("a"), F.explode("met").alias("b"))
 
 
 def _may_be_linked(column: Callable[[str], Column]) -> Column:
     """Whether a member and a leader (names with a line at the end) are apart, not compared and not ruled out."""
-    first = (column("class") != column("class_")) & (column("pivot") != column("first_"))
+    first = (column("class") != column("class_")) & (column("pivot") != column("first_")) & (column("pivot_") != column("first"))
     near = F.abs(column("d") - column("d_")) <= LIMIT
     return first & ((column("pivot") != column("pivot_")) | near)
 

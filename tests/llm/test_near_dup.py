@@ -159,3 +159,20 @@ def test_large_group_around_the_limit(spark, leaders):
     assert len(one) > 15
     assert all(want[i] == want[j] for i in got for j in (got[i],)), "no class joins what is apart"
     assert sum(got[i] == got[1000] for i in one) >= 0.95 * len(one)
+
+
+def test_a_link_past_all_leaders_of_the_first_round(spark, monkeypatch):
+    """One bucket of texts that are apart; only two of them are near, and neither leads first."""
+    texts = {i: prose(300 + i, 120, 10**6) for i in range(14)}
+    texts[20] = edited(texts[9], 2, 1)
+    reach = [(i, [1, *range(100 * i, 100 * i + (0 if i in (9, 20) else 3))]) for i in texts]
+    pairs = [(i + 30, bands[1:]) for i, bands in reach if len(bands) > 1]  # others that share the further buckets
+    texts |= {i: prose(400 + i, 120, 10**6) for i, _ in pairs}
+
+    def sketch(docs):
+        given = spark.createDataFrame(reach + pairs, "doc bigint, bands array<bigint>")
+        return docs.select("doc", "digest").join(given, "doc").select("doc", "digest", "bands")
+
+    monkeypatch.setattr(near_dup, "sketch", sketch)
+    got = {x["doc_id"]: x["class_id"] for x in near_dup.near_duplicates(documents(spark, sorted(texts.items())), leaders=2).collect()}
+    assert got == {i: 9 if i == 20 else i for i in texts}
