@@ -7,15 +7,19 @@ every register's first. Two documents agree in a register with probability J_P,
 Jaccard similarity. Registers are joined to bands; documents that share a band are candidates.
 
 Verification computes J_P itself. Each document is compared with its pivot, the smallest id that
-heads one of its buckets; links give first classes. Buckets that hold several classes then have leaders:
-of each class the member whose buckets hold most documents, and of these the ``LEADERS`` with most. Members
-are compared with the leaders of the other classes of their bucket, unless both have one pivot and their
-distances to it differ by more than the allowed distance: 1 - J_P is a metric. So a round over a bucket of n
-documents gives at most n * LEADERS pairs. Links join classes, and members that have led leave their bucket:
-whoever is left there has been compared with them. Rounds go on until no bucket holds several classes, each
-with ``GROWTH`` times as many leaders up to ``MOST_LEADERS``, later ones whatever their class. So every link that
-shares a band is found; that takes as many comparisons as there are pairs only in buckets whose documents are
-alike and not near. ``leaders=None`` compares all pairs of different classes of a bucket at once.
+heads one of its buckets; links give first classes. In a bucket of at most ``FEW`` documents all pairs of
+different classes are compared, unless both have one pivot and their distances to it differ by more than the
+allowed distance: 1 - J_P is a metric. Larger buckets with one head become one group, which is split by what
+its documents have besides the windows that are common there, held by at least one in ``COMMON`` of some members. If A is the
+weight of a document and A' that of the windows that it shares with another, J_P is at most
+1 / (A / A' + B / B' - 1). A document is *far* if this bound rules out every partner that shares nothing but
+common windows with it; such a document has links only inside the groups of its other windows. So these
+become groups of the next round. Each is smaller, since a window that all members hold is common. Documents that are not far stay and are
+compared with leaders of the other classes, the most central ones; leaders then leave their group. Rounds
+go on until no group holds several classes, with ``GROWTH`` times as many leaders up to ``MOST_LEADERS``, later
+ones whatever their class. So every link that shares a band is found. Rows grow with documents times their
+windows; only documents of a group that are not far and yet not near each other still meet pair by pair.
+``leaders=None`` compares all pairs of different classes of a bucket at once.
 
 Classes are the components of exact copies and links, named by their smallest id. Components are
 found by large-star and small-star steps on the edge table, written to the shared folder each time.
@@ -45,7 +49,12 @@ LIMIT = 1 - SIMILARITY + 1e-12
 BANDS = 25
 BAND_ROWS = 5
 SLICE = 1 << 20
-# Leaders of a bucket that holds several classes, in the first round; later rounds have more.
+# Documents of a bucket that are compared in pairs, and the share of a group that holds a common window.
+FEW = 32
+COMMON = 8
+# Members of a group, chosen by their hash, that say which windows are common.
+SEEN = 64
+# Leaders of a group that holds several classes, in the first round; later rounds have more.
 LEADERS = 8
 GROWTH = 8
 MOST_LEADERS = 512
@@ -240,30 +249,47 @@ def classes(docs: DataFrame, leaders: int | None = LEADERS) -> DataFrame:
     near = materialize(compare(pairs, texts), "to-pivots")
     links = _links(near)
     found = materialize(components(spark, links), "classes")
-    members = members.select("bucket", "first").join(
-        pivots.join(near.select(F.col("a").alias("first"), "distance"), "first", "left"), "first"
-    )
-    members = members.withColumn("d", F.coalesce("distance", F.lit(0.0))).drop("distance")
-    members = materialize(members, "placed")
-
-    size, one_a_class = leaders, True
+    placed = pivots.join(near.select(F.col("a").alias("first"), "distance"), "first", "left")
+    members = members.join(placed.withColumn("d", F.coalesce("distance", F.lit(0.0))).drop("distance"), "first")
+    members = materialize(members.drop("head"), "placed")
+    if leaders is not None:
+        # Large buckets whose smallest pivot is the same are one group.
+        large = members.where(F.col("n") > FEW)
+        named = large.groupBy("bucket").agg(F.xxhash64(F.lit("group"), F.min("pivot")).alias("group"))
+        large = large.join(named, "bucket").withColumn("bucket", F.col("group")).drop("group")
+        large = large.dropDuplicates(["bucket", "first"])
+        members = materialize(members.where(F.col("n") <= FEW).unionByName(large), "groups")
+    members = members.drop("n")
+
+    size, one_a_class, grams = leaders, True, None
     while True:
         members = _classed(members, found)
         if members.isEmpty():
             break
-        if leaders is not None:
-            heads = materialize(_leaders(members, size, one_a_class), "leaders")
-            pairs = _with_leaders(members, heads)
-        else:
-            pairs = _all_pairs(members)
+        if leaders is None:
+            last = materialize(_links(compare(materialize(_all_pairs(members), "pairs"), texts)), "links")
+            found = materialize(components(spark, links.unionByName(last)), "classes")
+            break
+        few = members.where(F.col("n") <= FEW)
+        pairs = _with_leaders(few, _leaders(few, FEW, False))
+        many = members.where(F.col("n") > FEW)
+        rest = None
+        if not many.isEmpty():
+            if grams is None:
+                wanted = many.select(F.col("first").alias("doc")).distinct()
+                grams = materialize(windows(texts.join(wanted, "doc", "left_semi")), "windows")
+            inner, split = _parted(many, grams)
+            heads = materialize(_leaders(_outsiders(inner), size, one_a_class), "leaders")
+            pairs = pairs.unionByName(_with_leaders(inner, heads)).distinct()
+            led = heads.select("bucket", F.col("first_").alias("first"))
+            rest = inner.join(led, ["bucket", "first"], "left_anti").select(*split.columns).unionByName(split)
         last = materialize(_links(compare(materialize(pairs, "leader-candidates"), texts)), "links")
         if not last.isEmpty():
             links = materialize(links.unionByName(last), "links")
             found = materialize(components(spark, links), "classes")
-        if leaders is None:
+        if rest is None:
             break
-        led = heads.select("bucket", F.col("first_").alias("first"))
-        members = members.join(led, ["bucket", "first"], "left_anti").drop("class")
+        members = materialize(rest, "rest")
         size, one_a_class = max(size, min(size * GROWTH, MOST_LEADERS)), False
 
     named = copies.join(found, copies["first"] == found["doc"], "left")
@@ -279,12 +305,103 @@ def _links(checked: DataFrame) -> DataFrame:
 
 
 def _classed(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several classes, with their class."""
+    """Members of the buckets that hold several classes, with their class and the bucket's size."""
     placed = members.join(found.withColumnRenamed("doc", "first"), "first", "left")
     placed = materialize(placed.withColumn("class", F.coalesce("class", "first")), "classed")
-    several = placed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    several = several.where("low <> high").select("bucket")
-    return materialize(placed.join(several, "bucket", "left_semi"), "open")
+    several = placed.groupBy("bucket").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n")
+    )
+    several = several.where("low <> high").select("bucket", "n")
+    return materialize(placed.join(several, "bucket"), "open")
+
+
+def windows(texts: DataFrame) -> DataFrame:
+    """doc and its distinct windows, a list of key and weight, of columns doc and text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = flat_bytes(batch.column(1))
+            for a, b in slices(offsets, SLICE):
+                of, keys, weights = shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                ends = np.searchsorted(of, np.arange(b - a + 1)).astype(np.int32)
+                pairs = pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), pa.array(weights)], ["key", "weight"])
+                columns = [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends), pairs)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "windows"])
+
+    return texts.select("doc", "text").mapInArrow(run, "doc bigint, windows array<struct<key:bigint,weight:double>>")
+
+
+def _outsiders(inner: DataFrame) -> DataFrame:
+    """Members of the largest class of a group come after all others when leaders are chosen."""
+    sizes = inner.groupBy("bucket", "class").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "class")).alias("top")).select("bucket", "top.class")
+    marked = inner.join(largest.withColumnRenamed("class", "largest"), "bucket")
+    return marked.withColumn("reach", F.col("reach") - F.when(F.col("class") == F.col("largest"), 1 << 40).otherwise(0)).drop("largest")
+
+
+def _common(many: DataFrame, grams: DataFrame) -> DataFrame:
+    """A list of the common windows of each group: those that one in ``COMMON`` of ``SEEN`` members holds.
+
+    Which windows count as common decides how groups are split, never which links are found.
+    """
+    seen = Window.partitionBy("bucket").orderBy(F.xxhash64("first"), "first")
+    some = many.select("bucket", "first", F.least("n", F.lit(SEEN)).alias("n"), F.row_number().over(seen).alias("rank"))
+    some = some.where(F.col("rank") <= SEEN)
+    terms = some.join(grams.withColumnRenamed("doc", "first"), "first").select("bucket", "n", F.inline("windows"))
+    held = terms.groupBy("bucket", "key", "n").agg(F.count("*").alias("held")).where(F.col("held") * COMMON >= F.col("n"))
+    return materialize(held.groupBy("bucket").agg(F.sort_array(F.collect_list("key")).alias("common")), "common")
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """Weight and number of a member's windows and of its common ones, and the keys of the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for held, common in zip(batch.column(3), batch.column(4), strict=True):
+                keys = held.values.field("key").to_numpy()
+                weights = held.values.field("weight").to_numpy()
+                inside = np.isin(keys, common.values.to_numpy()) if common.is_valid else np.zeros(len(keys), bool)
+                row = [weights.sum(), len(keys), weights[inside].sum(), inside.sum(), keys[~inside]]
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
+            kinds = [pa.float64(), pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.int64())]
+            columns = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names)
+
+    schema = "bucket bigint, first bigint, class bigint, all_w double, all_n bigint, common_w double, common_n bigint, others array<bigint>"
+    names = [f.split()[0] for f in schema.split(", ")]
+    return rows.select("bucket", "first", "class", "windows", "common").mapInArrow(run, schema)
+
+
+def _parted(many: DataFrame, grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members that are not far, with their share of common windows as reach, and the groups by other windows."""
+    placed = many.select("bucket", "first", "class").join(grams.withColumnRenamed("doc", "first"), "first")
+    own = _apart(placed.join(_common(many, grams), "bucket", "left")).withColumn("extra", F.col("all_w") - F.col("all_n"))
+    own = materialize(own, "weights")
+    sizes = own.groupBy("bucket").agg(F.collect_set("all_n").alias("sizes"), F.max("extra").alias("most_extra"))
+    # A partner holds at least the shared weight; of those the smallest has the largest bound.
+    least = F.array_min(F.filter("sizes", lambda x: x >= F.col("all_w") * SIMILARITY - F.col("extra") - 1e-9))
+    theirs = (least + F.col("most_extra")) / (F.col("common_n") + F.col("most_extra"))
+    need = F.col("all_w") / F.col("common_w") + F.greatest(theirs, F.lit(1.0))
+    far = F.when(F.col("common_n") == 0, True).otherwise(need > 1 / SIMILARITY + 1 + 1e-9)
+    central = (F.col("common_w") / F.col("all_w") * 1e9).cast("bigint")
+    own = own.join(sizes, "bucket").select("bucket", "first", "class", "others", far.alias("far"), central.alias("central"))
+    own = materialize(own, "far")
+    inner = many.join(own.where("NOT far").select("bucket", "first", "central"), ["bucket", "first"])
+    inner = materialize(inner.drop("reach").withColumnRenamed("central", "reach"), "inner")
+    # Of windows with the same holders one makes a group; without a far one they are compared already.
+    other = own.select("bucket", "first", "class", "far", F.explode("others").alias("key"))
+    other = materialize(other, "other-windows")
+    groups = other.groupBy("bucket", "key").agg(
+        F.bit_xor(F.xxhash64("first")).alias("who"), F.bit_xor(F.xxhash64(F.lit(1), "first")).alias("who_too"),
+        F.count("*").alias("holders"), F.min("class").alias("low"), F.max("class").alias("high"), F.max("far").alias("far"),
+    )
+    groups = groups.where("far AND low <> high").groupBy("who", "who_too", "holders").agg(F.min(F.struct("bucket", "key")).alias("at"))
+    split = other.join(groups.select("at.bucket", "at.key").hint("merge"), ["bucket", "key"], "left_semi")
+    split = split.select(F.xxhash64("bucket", "key").alias("bucket"), "first").distinct()
+    kept = many.select("first", "pivot", "reach", "d").dropDuplicates(["first"])
+    return inner, split.join(kept, "first").select("bucket", "first", "pivot", "reach", "d")
 
 
 def _all_pairs(open_: DataFrame) -> DataFrame:

@@ -176,3 +176,55 @@ def test_a_link_past_all_leaders_of_the_first_round(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "sketch", sketch)
     got = {x["doc_id"]: x["class_id"] for x in near_dup.near_duplicates(documents(spark, sorted(texts.items())), leaders=2).collect()}
     assert got == {i: 9 if i == 20 else i for i in texts}
+
+
+def all_pairs_classes(rows):
+    """Class of every row, by all pairs of the operator's similarity, which is compared with its definition above."""
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = {i: near_dup._weighted(t.encode()) for i, t in rows}
+    for i, j in itertools.combinations(sets, 2):
+        if near_dup.similarity(*sets[i], *sets[j]) >= near_dup.SIMILARITY:
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    return sorted((i, find(i)) for i in root)
+
+
+def family(n, seed, words=120):
+    """Texts that are like one base, most of them not near each other, and a few pairs of near ones."""
+    base = prose(seed, words, 10**6)
+    rows = [(i, edited(base, 4 + i % 4, 1000 * seed + i)) for i in range(n)]
+    return rows + [(n + i, edited(rows[7 * i + 3][1], 1, i)) for i in range(6)]
+
+
+def test_alike_texts_make_few_pairs(spark, monkeypatch):
+    """Pairs grow with a group of texts that are alike and not near, not with its square; no link is lost."""
+    monkeypatch.setattr(near_dup, "FEW", 4)
+    made, compare = [], near_dup.compare
+
+    def counted(pairs, texts):
+        made.append(pairs.count())
+        return compare(pairs, texts)
+
+    monkeypatch.setattr(near_dup, "compare", counted)
+    base = prose(500, 120, 10**6)
+    rows = [(i, edited(base, 8, i)) for i in range(90)]
+    rows += [(90 + i, edited(rows[7 * i + 3][1], 1, i)) for i in range(6)]
+    got = sorted(tuple(r) for r in near_dup.near_duplicates(documents(spark, rows)).collect())
+    assert got == all_pairs_classes(rows)
+    assert sum(made) < 12 * len(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_split_groups_equal_brute_force(spark, monkeypatch, seed):
+    monkeypatch.setattr(near_dup, "FEW", 3)
+    rows = family(40, seed)
+    twice = [(100 + i, t + " again and again " + t[:200]) for i, t in rows[:20]]  # weights above 1, other lengths
+    rows += twice + [(200 + i, t.rsplit(" ", 18)[0]) for i, t in rows[:20]]
+    got = sorted(tuple(r) for r in near_dup.near_duplicates(documents(spark, rows)).collect())
+    assert got == all_pairs_classes(rows)
