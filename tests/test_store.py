@@ -138,3 +138,18 @@ def test_run_log(spark, out):
     assert lines == [("a", "sum", 45), ("b", "rows", 10)]
     text = [r["value"] for r in runlog.log_text(log.where("job_name = 'good'")).collect()]
     assert text[0].endswith("\t45\t10")
+
+
+def test_keys_of_a_delete_are_made_once(spark, filled):
+    store, rows = filled
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(oid):
+        made.add(1)
+        return oid
+
+    keys = entities(spark, "o1", "o2", "o1").select("entity_type", F.udf(seen, "string")("oid").alias("oid"))
+    plan.delete_entities(store, keys, "del")
+    assert made.value == 3
+    left = {r["oid"] for r in plan.stored_profiles(store, DICTIONARY).base.select("oid").collect()}
+    assert left == {r[1] for r in rows} - {"o1", "o2"}
