@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from dossierlake.operators import documents, fold, parts
+from dossierlake.plans.queries import profiles
 from dossierlake.schema import ROW_KEY
 from dossierlake.session import materialize
 
@@ -63,3 +64,11 @@ def test_tasks_follow_the_rows(spark, monkeypatch):
     both = old.unionByName(new)
     calm, _ = parts.dealing(both, ROW_KEY).split(both)
     assert calm.rdd.getNumPartitions() == both.count()
+
+
+def test_split_parts_are_the_whole(spark, monkeypatch):
+    monkeypatch.setattr(profiles, "attr_sides", lambda *_: two_sides(spark))
+    for most in (20, 1000):
+        monkeypatch.setattr(profiles, "dealing", lambda rows, key, most=most: parts.dealing(rows, key, most))
+        # A key with a null is not found among the new ones.
+        assert sorted_rows(profiles.changed_split(spark, "")) == [("d", 16, 17, "unchanged"), ("d", 52, 93, "changed")]
