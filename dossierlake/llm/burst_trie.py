@@ -278,15 +278,14 @@ def _burst(turns: DataFrame, big: DataFrame) -> tuple[DataFrame, DataFrame, Data
 
 
 def _chain_nodes(chains: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes of chains and the totals of their containers.
+    """Nodes of chains, written with their containers, and the totals of containers.
 
     ``below`` has, per container, what lies under the chain: children, leaves and saved. Sums along a
-    chain are made in blocks of depths and over the blocks.
+    chain are made in blocks of depths and over the blocks. The totals are those of a chain's first node.
     """
     own = (F.col("all_w") - 1) * F.col("chars")
     rows = chains.withColumn("own", own).withColumn("block", block_of(F.col("depth")))
     blocks = rows.groupBy(*HEAD, "block").agg(F.sum("own").alias("of_block"))
-    whole = blocks.groupBy(*HEAD).agg(F.sum("of_block").alias("chain"))
     later = Window.partitionBy(*HEAD).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(*HEAD, "block", F.coalesce(F.sum("of_block").over(later), F.lit(0)).alias("later"))
     inside = Window.partitionBy(*HEAD, "block").orderBy(F.desc("depth"))
@@ -294,18 +293,18 @@ def _chain_nodes(chains: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFr
     rows = rows.join(blocks, [*HEAD, "block"]).withColumn("along", F.col("later") + F.sum("own").over(inside))
     first = F.col("depth") == F.col("head_depth") + 1
     nodes = rows.select(
-        F.col("low").alias("conv_id"), "depth", F.when(first, F.col("head")).otherwise(F.col("low")).alias("parent_conv_id"),
+        *HEAD, F.col("low").alias("conv_id"), "depth", F.when(first, F.col("head")).otherwise(F.col("low")).alias("parent_conv_id"),
         F.col("all_w").alias("n_convs"),
         F.when(F.col("depth") < F.col("cut") - 1, 1).otherwise(F.coalesce("children", F.lit(0))).alias("n_children"),
         F.coalesce("leaves", F.lit(1)).alias("n_leaves"),
         (F.col("along") + F.coalesce("saved", F.lit(0))).alias("saved_tokens"), "end_conv",
     )
-    totals = whole.join(below, HEAD, "full").select(
-        *HEAD, F.when(F.col("chain").isNotNull(), 1).otherwise(F.col("children")).alias("children"),
-        F.coalesce("leaves", F.lit(1)).alias("leaves"),
-        (F.coalesce("chain", F.lit(0)) + F.coalesce("saved", F.lit(0))).alias("saved"),
-    )
-    return nodes, totals
+    nodes = materialize(nodes, "chain-nodes")
+    top = nodes.where(F.col("depth") == F.col("head_depth") + 1).select(
+        *HEAD, F.lit(1).cast("bigint").alias("children"), F.col("n_leaves").alias("leaves"), F.col("saved_tokens").alias("saved")
+    )
+    bare = below.join(top.select(*HEAD), HEAD, "left_anti")
+    return nodes, top.unionByName(bare.select(*top.columns))
 
 
 def _head_nodes(heads: DataFrame, totals: DataFrame) -> DataFrame:
