@@ -4,9 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from dossierlake.operators import assemble, attributes, fold, placing
+from dossierlake.plans import profiles as plan
 from dossierlake.plans.profiles import attribute_rows
-from dossierlake.plans.queries import profiles
+from dossierlake.plans.queries import common, profiles
+from dossierlake.plans.store import SnapshotStore
 from dossierlake.schema import ENTITY, ROW_KEY
+from dossierlake.sources import adapters
 from tests.test_fold import DICTIONARY, WIDE, observations
 
 NULLS = [(None, None, None, None, None, t, 900 + t, "s1", "k,,l") for t in (5, 1_400_000_000)]
@@ -69,3 +72,34 @@ def test_slots_follow_the_rows(spark, monkeypatch):
     assert placing.slots_for(spark, 0) == 1 and placing.slots_for(spark, 10, 8) == 8
     assert placing.slots_for(spark, 60_000) == min(session, 3)
     assert placing.slots_for(spark, 216_000_000, 8) == 2160
+
+
+def test_batches_are_written_where_they_are_folded(spark, wide, out, monkeypatch):
+    monkeypatch.setattr(placing, "SLOT_OBSERVATIONS", 10)
+    store = SnapshotStore(spark, out("store"), buckets=4)
+    for most in (10, 10**6):
+        found = placing.placing(wide, 4, full=most, most=most)
+        tables = plan.placed_tables(found, DICTIONARY)
+        assert most == 10 or [exchanges(t) for t in tables.values()] == [1, 1]
+        store.append(tables, str(most))
+        for name, plain in plan.day_tables(wide, DICTIONARY).items():
+            newest = store.newest(name)
+            assert attributes.SLOT not in newest.columns and rows_of(newest.drop("bucket")) == rows_of(plain)
+            # No task has rows of two buckets, so there is a file for each slot at most.
+            assert newest.select(F.input_file_name()).distinct().count() <= found.slots
+    assert plan.ingest(store, wide, DICTIONARY, "10") == 2
+    plan.ingest(store, wide, DICTIONARY, "third")
+    assert rows_of(store.newest("attr_day").drop("bucket")) == rows_of(plan.day_tables(wide, DICTIONARY)["attr_day"])
+
+
+def test_an_entity_of_the_sides_lies_in_one_file(spark, wide, monkeypatch):
+    monkeypatch.setattr(placing, "SLOT_OBSERVATIONS", 10)
+    monkeypatch.setitem(common.LOADERS, "o", lambda *_: wide)
+    monkeypatch.setitem(common.SPLITS, "o", 1_400_086_400)
+    halves = adapters.split_stored(wide, 1_400_086_400)
+    for side, both, half in zip(common.attr_sides(spark, "", "o"), common.sides(spark, "", "o"), halves, strict=True):
+        plain = plan.day_tables(half, common.DICTIONARY)
+        assert rows_of(side) == rows_of(plain["attr_day"])
+        assert {name: rows_of(rows) for name, rows in both.items()} == {name: rows_of(rows) for name, rows in plain.items()}
+        files = side.select(*ENTITY, F.input_file_name().alias("file")).distinct()
+        assert files.groupBy(*ENTITY).count().where("count > 1").isEmpty()
